@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import table
 
-from . import packing, tokenize
+from . import mojibake, packing, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,18 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     """Containers, tokens and the share of room left over."""
     per = packing.container_report(packing.pack_corpus(table(spark, d, "documents")))
     return per.agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.round(F.sum("unused") / (F.count("*") * packing.CAPACITY), 6).alias("unused_share"))
+
+
+def _p1_fields(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.fields_of([("documents", table(spark, d, "documents"), "doc_id", ["text", "title"]), ("crawled_docs", table(spark, d, "crawled_docs"), "crawl_id", ["text"])])
+
+
+@query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.repair(_p1_fields(spark, d)).select("tbl", "id", "field").distinct()
+
+
+@query
+def p1_restored(spark: SparkSession, d: str) -> DataFrame:
+    """Affected fields with their restored text; ``lost`` places could not be restored."""
+    return mojibake.repair(_p1_fields(spark, d))

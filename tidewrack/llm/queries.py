@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import table
 
-from . import mojibake, packing, tokenize
+from . import boilerplate, mojibake, packing, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,22 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_restored(spark: SparkSession, d: str) -> DataFrame:
     """Affected fields with their restored text; ``lost`` places could not be restored."""
     return mojibake.repair(_p1_fields(spark, d))
+
+
+def _chain(spark: SparkSession, d: str):
+    return boilerplate.load(table(spark, d, "lang_samples"), table(spark, d, "common_words"))
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    model = _chain(spark, d)
+    raw = boilerplate.furniture_lines(table(spark, d, "raw_docs"), "raw_docs", "rec_id", "c", "t", *model)
+    return raw.unionByName(boilerplate.furniture_lines(table(spark, d, "crawled_docs"), "crawled_docs", "crawl_id", "text", "t", *model)).distinct()
+
+
+@query
+def p3_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The main body of every page."""
+    model = _chain(spark, d)
+    raw = boilerplate.main_bodies(table(spark, d, "raw_docs"), "raw_docs", "rec_id", "c", "t", *model)
+    return raw.unionByName(boilerplate.main_bodies(table(spark, d, "crawled_docs"), "crawled_docs", "crawl_id", "text", "t", *model))

@@ -17,7 +17,17 @@ from .furniture import NAV_ANY
 
 _MARK = "\x1f"
 _SENTENCE_END = r'([.!?…][.!?…"”»’)\]“]*)\s+(["“„«¿¡(\[]*[\p{Lu}\p{Lo}\d©→☎])'
-_ENTRY = rf"(^|[\s|·•»›>/–-])({NAV_ANY})(\s+[\p{{Lu}}|·•»›>/–—-]|$)"
+#: Prompts as wholes (their patterns begin them only), after which a new block starts.
+_PROMPTS = "|".join(
+    (
+        "Share this(?: on social media| article| page| post)?|Follow us on social media|Get our app for phones and tablets|Skip to (?:main )?content|Most read(?: this week| today)?|Tags in this section|Print this page",
+        "Subscribe to our newsletter|Sign in to comment|Related (?:articles|posts|stories)|You (?:may|might) also like|Advertisement|Anzeige|Publicité|Publicidad|Pubblicità|Publicidade|Advertentie|Реклама|Meistgelesen",
+        "Ähnliche (?:Artikel|Beiträge)|Artikel teilen|Newsletter abonnieren|Articles similaires|Les plus lus|Partager cet article|S'abonner à la newsletter|Artículos relacionados|Lo más leído|Compartir este artículo",
+        "Suscríbase al boletín|Articoli correlati|I più letti|Condividi questo articolo|Iscriviti alla newsletter|Artigos relacionados|Mais lidas|Partilhar este artigo|Subscrever a newsletter|Gerelateerde artikelen",
+        "Meest gelezen|Deel dit artikel|Abonneer op de nieuwsbrief|Похожие статьи|Самое читаемое|Поделиться статьёй|Подписаться на рассылку|(?:Leave a comment|Kommentare|Commentaires|Comentarios|Commenti|Comentários|Reacties|Комментарии) \\(\\d+\\)|OK",
+    )
+)
+_ENTRY = rf"(^|[\s|·•»›>/–-])({NAV_ANY}|{_PROMPTS})(\s+[\p{{Lu}}|·•»›>/–—-]|$)"
 _AFTER_PAREN = r"(\(\d+\)|Learn more OK|Read more)\s+([\p{Lu}])"
 _RIGHTS = r"\s(©|\(c\) |Copyright (?:©|\(c\)|19|20))"
 TAGS = ("nav", "header", "footer", "aside", "main", "article", "p", "li", "a", "h1", "h2", "td", "form", "button")

@@ -35,7 +35,7 @@ FEATURES = (
     "bias", "entry", "separator", "led by separator", "trailed by separator", "prompt", "heading", "cookie", "footer", "ended", "one word",
     "few words", "some words", "many words", "sentence", "title-like", "short question", "first", "last", "early", "late", "after entry", "before entry",
     "near entries", "after heading", "in side list", "own title", "many separators", "digits", "code", "bulleted", "row-like", "boxed tag", "body tag", "after cookie", "after ad or prompt",
-    "long without end", "no common word",
+    "long without end", "no common word", "last after sentence", "very long without end", "only block",
 )
 
 
@@ -74,10 +74,10 @@ def features(b: Blocks, common: CommonWords, titles: pa.Array | None, shape: dic
     near = np.zeros(n, dtype=np.int64)
     for k in range(1, NEAR + 1):
         near += _shift(menu, doc, k).astype(np.int64) + _shift(menu, doc, -k)
-    # a side list runs from its heading over title-like blocks; it ends at any other
+    # a side list runs from a heading or prompt over title-like blocks; it ends at any other
     idx = np.arange(n)
     broken = np.maximum.accumulate(np.where(first | (~title_like & ~heading & ~prompt), idx, -1)) if n else idx
-    headed = np.maximum.accumulate(np.where(heading, idx, -1)) if n else idx
+    headed = np.maximum.accumulate(np.where(heading | prompt, idx, -1)) if n else idx
     side = title_like & (headed >= 0) & (headed > broken) & (headed >= start) if n else np.zeros(0, bool)
     own = np.zeros(n, dtype=bool)
     if titles is not None and n:
@@ -85,7 +85,8 @@ def features(b: Blocks, common: CommonWords, titles: pa.Array | None, shape: dic
         own = pc.equal(b.text, page).to_numpy(zero_copy_only=False) & (words > 0)
     letters_few = s["lettered"] < 0.5
     bulleted = b.has(r"^(?:[*•–-]|\d+[.)])\s")
-    row = b.count(r"(?:^|\s)\S*\d\S*") * 3 >= np.maximum(1, words)
+    numbers = b.count(r"(?:^|\s)\S*\d\S*")
+    row = (numbers >= 2) & (numbers * 3 >= np.maximum(1, words))
     boxed, body = np.zeros(n, bool), np.zeros(n, bool)
     if b.tags is not None:
         boxed = np.fromiter((bool({"nav", "header", "footer", "aside", "form", "button"} & set(t)) for t in b.tags), bool, n)
@@ -94,6 +95,7 @@ def features(b: Blocks, common: CommonWords, titles: pa.Array | None, shape: dic
         np.ones(n, bool), entry, separator, led, trailed, prompt, heading, cookie, footer, s["ended"], words <= 1, (words >= 2) & (words <= 3), (words >= 4) & (words <= 9),
         words >= 10, s["sentence"], title_like, question, first, last, place < 3, size - place <= 3, _shift(menu, doc, 1), _shift(menu, doc, -1), near >= 3, _shift(heading, doc, 1), side, own, many_sep,
         letters_few, s["code"], bulleted, row, boxed, body, _shift(cookie, doc, 1), _shift(prompt, doc, 1), (words >= 8) & ~s["ended"], s["frequent"] == 0,
+        last & ~s["ended"] & _shift(s["sentence"], doc, 1) & ~entry & ~prompt & ~footer & (words >= 2), (s["chars"] >= 130) & ~s["ended"], first & last,
     ]
     return np.column_stack(columns).astype(np.float32) if n else np.zeros((0, len(FEATURES)), np.float32), s
 
@@ -238,7 +240,7 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
         return " ".join(q[: rng.randint(3, 8)]).rstrip(",;:")
 
     def junk() -> list[str]:
-        kind = rng.randrange(6)
+        kind = rng.randrange(10)
         rows = rng.randint(4, 12)
         if kind == 0:
             return [f"{rng.choice('*•-')} {rng.randint(1, 20)} kg {rng.choice(['apples', 'plums', 'nails', 'red onions'])}" for _ in range(rows)]
@@ -248,6 +250,16 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
             return [f"let x{k}=f({k}); if(x{k}){{run(x{k});}}" for k in range(rows)]
         if kind == 3:
             return [f"{rng.choice(['cheap', 'best', 'buy'])} {w} | {w} online | {w} near me" for w in rng.choices(["paint", "roof tiles", "hotel"], k=rows)]
+        if kind == 5:
+            return [" ".join([rng.choice(["Northam", "Eastby", "Southwell"])] + [f"{rng.randint(5, 22):02}:{rng.randint(0, 59):02}" for _ in range(4)]) for _ in range(rows)]
+        if kind == 6:
+            return [f"0x{rng.getrandbits(32):08x}: " + " ".join(f"{rng.getrandbits(16):04x}" for _ in range(6)) for _ in range(rows)]
+        if kind == 7:
+            return [f"{rng.randint(100, 999)};{rng.choice(['apples', 'red onions'])};{rng.random() * 9:.1f};03.02.2021;A" for _ in range(rows)]
+        if kind == 8:
+            return ["".join(rng.choices("ABCDEFabcdefxyz0123456789+/", k=60)) for _ in range(rows)] + ["".join(rng.choices(["###", "~", "||", ">>>", "***", "=", "...", " "], k=40))]
+        if kind == 9:
+            return [f"{rng.choice(['Door', 'Window'])}: {rng.randint(9, 99)} x {rng.randint(9, 99)} (M) [{rng.randint(1, 99)}-B]" for _ in range(rows)]
         if kind == 4:
             return ["".join(rng.choices("bcdfgh jklmnp", k=40)) for _ in range(rows)]
         return [f"{k + 1}. {rng.choice(['old', 'new'])} {rng.choice(['mill', 'barn', 'gate'])}" for k in range(rows)]
@@ -261,31 +273,46 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
         furnished = rng.random() < 0.75
         if furnished and rng.random() < 0.5:
             lines.append([(p.strip(), 1) for p in rng.choice(_NOTICES[lang]).split("|", 1)])
-        if furnished and rng.random() < 0.8:
+        if furnished and rng.random() < 0.6:
             items = rng.sample(nav, min(len(nav), rng.randint(3, 9)))
             if rng.random() < 0.25:
                 lines += [[(i, 1)] for i in items]
             else:
                 lines.append([(rng.choice([" | ", " · ", " / ", " > ", " - ", "   ", " "]).join(items), 1)])
-        if furnished and rng.random() < 0.5:
+        if furnished and rng.random() < 0.4:
             sep = rng.choice([" » ", " / ", " > "])
             lines.append([(sep.join(rng.sample(nav, 2) + [head]), 1)])
         if rng.random() < 0.5:
             lines.append([(head, 0)])
         if rng.random() < 0.12:
             lines += [[(r, 0)] for r in junk()]
-        for _ in range(rng.randint(1, 6)):
+        bare = rng.random() < 0.15  # nothing but rows
+        if bare:
+            lines += [[(r, 0)] for r in junk()]
+        for _ in range(0 if bare else rng.randint(1, 6)):
             pool = rng.choices(sentences[lang], k=rng.randint(1, 3))
             if rng.random() < 0.1:
                 pool.append(rng.choice(_TRAPS))
             lines.append([(" ".join(pool), 0)])
             if furnished and rng.random() < 0.25:
                 lines.append([(rng.choice(_PROMPTS[lang].split(";")), 1)])
+                if rng.random() < 0.4:
+                    lines += [[(title(lang), 1)] for _ in range(rng.randint(1, 4))]
             if furnished and rng.random() < 0.2:
                 lines.append([(rng.choice(_SIDES[lang].split(";")), 1)])
                 lines += [[(title(lang), 1)] for _ in range(rng.randint(0, 4))]
         if furnished and rng.random() < 0.6:
+            if rng.random() < 0.3:
+                lines.append([(rng.choice(_PROMPTS[lang].split(";")), 1)])
             lines.append([(p.strip(), 1) for p in rng.choice(_FOOTERS[lang].split(";")).replace("{n}", name).split("|", 1)])
+        elif furnished and rng.random() < 0.4:
+            lines.append([(rng.choice(_PROMPTS[lang].split(";")), 1)])
+        if rng.random() < 0.3:  # cut off at a length, as crawlers do
+            while len(lines) > 2 and (len(lines[-1]) > 1 or lines[-1][0][1] == 1):
+                lines.pop()
+            t, label = lines[-1][-1]
+            if label == 0 and len(t) > 12:
+                lines[-1] = [*lines[-1][:-1], (t[: rng.randint(8, len(t) - 1)].strip(), 0)]
         flat = [p for line in lines for p in line]
         glue = " " if rng.random() < 0.4 else "\n"
         pages.append(glue.join(t for t, _ in flat))

@@ -14,8 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from .furniture import NAV_ANY
+from .mojibake import plain_utf8
 
-_MARK = "\x1f"
+_MARK, _ENTRY_MARK = "\x1f", "\x1e"
 _SENTENCE_END = r'([.!?…][.!?…"”»’)\]“]*)\s+(["“„«¿¡(\[]*[\p{Lu}\p{Lo}\d©→☎])'
 #: Prompts as wholes (their patterns begin them only), after which a new block starts.
 _PROMPTS = "|".join(
@@ -28,8 +29,12 @@ _PROMPTS = "|".join(
     )
 )
 _ENTRY = rf"(^|[\s|·•»›>/–-])({NAV_ANY}|{_PROMPTS})(\s+[\p{{Lu}}|·•»›>/–—-]|$)"
+#: The last entry of a menu may stand before anything.
+_LAST_ENTRY = rf"({_ENTRY_MARK}[\s|·•»›>/–-]*)({NAV_ANY})\s+"
 _AFTER_PAREN = r"(\(\d+\)|Learn more OK|Read more)\s+([\p{Lu}])"
 _RIGHTS = r"\s(©|\(c\) |Copyright (?:©|\(c\)|19|20))"
+#: Leads of UTF-8 read in a one-byte encoding, with what can follow.
+_GARBLED = "[ÃÂÐÑâ][\u0080-\u00bf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|[РС][°±µ»‚‹¦©«¬®†‡€‰ѓЃ“”‘’Џђ]|√[©®°±≤¥µ∂∑∏π∫ªºΩæø¿]|[├╨╤][^ ]"
 TAGS = ("nav", "header", "footer", "aside", "main", "article", "p", "li", "a", "h1", "h2", "td", "form", "button")
 _SKIP = {"script", "style", "noscript", "template"}
 
@@ -72,11 +77,28 @@ def _counts(lists: pa.ListArray) -> np.ndarray:
     return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _apart(page: str, title: str | None) -> str:
+    """The page with its own title, where a page of one line repeats it, as a block."""
+    title = title.strip() if title else ""
+    if len(title) < 12 or "\n" in page or title not in page:
+        return page
+    return page.replace(f" {title} ", f" {_MARK}{title}{_MARK} ") if f" {title} " in page else page.replace(f"{title} ", f"{title}{_MARK} ", 1) if page.startswith(f"{title} ") else page
+
+
 class Blocks:
     """Blocks of a batch of pages: ``text`` (Arrow strings), ``doc`` and ``line`` (numpy), in page order."""
 
-    def __init__(self, pages: pa.Array, html: bool = True):
+    def __init__(self, pages: pa.Array, titles: pa.Array | None = None, html: bool = True):
         pages = pc.fill_null(pages.cast(pa.string()), "")
+        garbled = np.flatnonzero(pc.greater_equal(pc.count_substring_regex(pages, _GARBLED), 3).to_numpy(zero_copy_only=False))
+        if len(garbled):  # judged by what they say
+            mended = pages.to_pylist()
+            for d in garbled.tolist():
+                mended[d] = plain_utf8(mended[d])
+            pages = pa.array(mended, pa.string())
+        pages = pc.replace_substring_regex(pages, r"[\x1e\x1f\r\v\f]", " ")
+        if titles is not None:
+            pages = pa.array([_apart(p, t) for p, t in zip(pages.to_pylist(), titles.cast(pa.string()).to_pylist())], pa.string())
         self.n_docs = len(pages)
         tags: dict[tuple[int, int], tuple[str, ...]] = {}
         if html and pc.any(pc.match_substring(pages, "</")).as_py():
@@ -92,12 +114,13 @@ class Blocks:
         line_doc = np.repeat(np.arange(len(pages)), per_doc)
         line_no = np.arange(len(flat)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
         self.n_lines = per_doc
-        flat = pc.replace_substring_regex(flat, r"[\x1f\r\v\f]", " ")
         flat = pc.replace_substring_regex(flat, _SENTENCE_END, "\\1" + _MARK + "\\2")
         flat = pc.replace_substring_regex(flat, _RIGHTS, _MARK + "\\1")
         flat = pc.replace_substring_regex(flat, _AFTER_PAREN, "\\1" + _MARK + "\\2")
         for _ in range(2):  # neighbours share the blank between them
-            flat = pc.replace_substring_regex(flat, _ENTRY, "\\1" + _MARK + "\\2" + _MARK + "\\3")
+            flat = pc.replace_substring_regex(flat, _ENTRY, "\\1" + _ENTRY_MARK + "\\2" + _ENTRY_MARK + "\\3")
+        flat = pc.replace_substring_regex(flat, _LAST_ENTRY, "\\1\\2" + _MARK)
+        flat = pc.replace_substring(flat, _ENTRY_MARK, _MARK)
         parts = pc.split_pattern(flat, _MARK)
         per_line = _counts(parts)
         text = pc.utf8_trim_whitespace(parts.flatten())
@@ -159,5 +182,5 @@ def sentence_shape(b: Blocks, common: CommonWords) -> dict[str, np.ndarray]:
     code = b.has(r"[;{}]\s*$|\w\(.*\);|[=+~|#*%@_]{2,}|0x[0-9a-f]{4}")
     shouting = b.count(r"\p{Lu}") > 0.6 * letters
     plain = (words >= 4) & (lettered > 0.6) & ~code
-    sentence = plain & ((ended & upper & ((words >= 5) | (frequent >= 1))) | (ended & (often > 0.2)) | ((words >= 8) & (often >= 0.2)))
+    sentence = plain & ((ended & ((words >= 5) | (upper & (frequent >= 1)))) | (ended & (often > 0.2)) | ((words >= 8) & (often >= 0.2)))
     return {"chars": chars, "words": words, "letters": letters, "frequent": frequent, "ended": ended, "upper": upper, "lettered": lettered, "often": often, "code": code, "shouting": shouting, "sentence": sentence}

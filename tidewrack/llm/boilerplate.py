@@ -35,7 +35,7 @@ FEATURES = (
     "bias", "entry", "separator", "led by separator", "trailed by separator", "prompt", "heading", "cookie", "footer", "ended", "one word",
     "few words", "some words", "many words", "sentence", "title-like", "short question", "first", "last", "early", "late", "after entry", "before entry",
     "near entries", "after heading", "in side list", "own title", "many separators", "digits", "code", "bulleted", "row-like", "boxed tag", "body tag", "after cookie", "after ad or prompt",
-    "long without end", "no common word", "last after sentence", "very long without end", "only block",
+    "long without end", "no common word", "last after sentence", "very long without end", "only block", "long without common word", "long in signs",
 )
 
 
@@ -96,6 +96,7 @@ def features(b: Blocks, common: CommonWords, titles: pa.Array | None, shape: dic
         words >= 10, s["sentence"], title_like, question, first, last, place < 3, size - place <= 3, _shift(menu, doc, 1), _shift(menu, doc, -1), near >= 3, _shift(heading, doc, 1), side, own, many_sep,
         letters_few, s["code"], bulleted, row, boxed, body, _shift(cookie, doc, 1), _shift(prompt, doc, 1), (words >= 8) & ~s["ended"], s["frequent"] == 0,
         last & ~s["ended"] & _shift(s["sentence"], doc, 1) & ~entry & ~prompt & ~footer & (words >= 2), (s["chars"] >= 130) & ~s["ended"], first & last,
+        (s["chars"] >= 90) & (s["frequent"] == 0) & ~cookie & ~footer, (s["chars"] >= 50) & letters_few & ~footer,
     ]
     return np.column_stack(columns).astype(np.float32) if n else np.zeros((0, len(FEATURES)), np.float32), s
 
@@ -345,14 +346,14 @@ def _labels(b: Blocks, pages: list[str], pieces: list[list[tuple[str, int]]]) ->
 def train(samples: list[tuple[str, str]], common: CommonWords, n: int = TRAIN_PAGES, seed: int = 11) -> Chain:
     """Fit the chain on composed pages."""
     pages, pieces, titles = compose(samples, n, seed)
-    b = Blocks(pa.array(pages, pa.string()))
+    b = Blocks(pa.array(pages, pa.string()), pa.array(titles, pa.string()))
     x, _ = features(b, common, pa.array(titles, pa.string()))
     return fit(x, b.doc, _labels(b, pages, pieces))
 
 
 def tag(pages: pa.Array, titles: pa.Array | None, chain: Chain, common: CommonWords) -> tuple[Blocks, np.ndarray, dict[str, np.ndarray]]:
     """Blocks of pages with the state of each and their sentence shape."""
-    b = Blocks(pages)
+    b = Blocks(pages, titles)
     x, shape = features(b, common, titles)
     return b, chain.decode(x, b.doc, b.n_docs), shape
 

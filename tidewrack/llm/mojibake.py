@@ -251,6 +251,23 @@ def _unutf8(text: str, codec: str, model: PairModel) -> str:
     return _PATTERNS[codec].sub(back, text)
 
 
+def plain_utf8(text: str) -> str:
+    """A text full of UTF-8 sequences read in one encoding, decoded without a model; for judging pages, not for repair."""
+    for _ in range(2):
+        best = max(("cp1252", "cp1251", "mac_roman", "cp437", "latin-1"), key=lambda c: sum(map(len, _PATTERNS[c].findall(text))))
+        if len(_PATTERNS[best].findall(text)) < 3:
+            break
+
+        def back(m: re.Match, codec: str = best) -> str:
+            try:
+                return bytes(_BYTES[codec][c] for c in m.group()).decode("utf-8")
+            except UnicodeDecodeError:
+                return m.group()
+
+        text = _PATTERNS[best].sub(back, text)
+    return text
+
+
 def _decodings(run: str, model: PairModel) -> Iterator[str]:
     """What one inverse mapping of UTF-8 sequences makes of a run."""
     if "&" in run:

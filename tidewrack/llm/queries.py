@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.session import table
+from tidewrack.session import cut, table
 
-from . import boilerplate, mojibake, packing, tokenize
+from . import boilerplate, mojibake, packing, quality, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,32 @@ def p3_bodies(spark: SparkSession, d: str) -> DataFrame:
     model = _chain(spark, d)
     raw = boilerplate.main_bodies(table(spark, d, "raw_docs"), "raw_docs", "rec_id", "c", "t", *model)
     return raw.unionByName(boilerplate.main_bodies(table(spark, d, "crawled_docs"), "crawled_docs", "crawl_id", "text", "t", *model))
+
+
+def _p5_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of all pages, written once to the shared checkpoint folder as two passes read them."""
+    model = _chain(spark, d)
+    raw = quality.statistics(table(spark, d, "raw_docs"), "raw_docs", "rec_id", "c", "t", *model)
+    return cut(raw.unionByName(quality.statistics(table(spark, d, "crawled_docs"), "crawled_docs", "crawl_id", "text", "t", *model)))
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    stats = _p5_statistics(spark, d)
+    sk = quality.collect_sketches(quality.sketches(stats, ("sentence_share",)))
+    return quality.flag(stats, sk).where("non_prose").select("tbl", "id").distinct()
+
+
+@query
+def p5_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Every statistic of every document with its percentile and robust z-score within its language."""
+    stats = _p5_statistics(spark, d)
+    return quality.standing(stats, quality.collect_sketches(quality.sketches(stats)))
+
+
+@query
+def p5_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of each statistic per language, from the merged sketches."""
+    sk = quality.collect_sketches(quality.sketches(_p5_statistics(spark, d)))
+    rows = [(lang, stat, s.n, *(s.quantile(q) for q in (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99))) for (lang, stat), s in sorted(sk.items())]
+    return spark.createDataFrame(rows, "lang string, stat string, n bigint, p01 double, p05 double, p25 double, p50 double, p75 double, p95 double, p99 double")

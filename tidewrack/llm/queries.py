@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut, table
 
-from . import boilerplate, mojibake, packing, quality, tokenize
+from . import boilerplate, langid, mojibake, packing, quality, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +99,20 @@ def p5_quantiles(spark: SparkSession, d: str) -> DataFrame:
     sk = quality.collect_sketches(quality.sketches(_p5_statistics(spark, d)))
     rows = [(lang, stat, s.n, *(s.quantile(q) for q in (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99))) for (lang, stat), s in sorted(sk.items())]
     return spark.createDataFrame(rows, "lang string, stat string, n bigint, p01 double, p05 double, p25 double, p50 double, p75 double, p95 double, p99 double")
+
+
+def _p7_identified(spark: SparkSession, d: str) -> DataFrame:
+    model = langid.load(table(spark, d, "lang_samples"))
+    return langid.identify(table(spark, d, "raw_docs"), "rec_id", "c", "t", "l", model, *_chain(spark, d))
+
+
+@query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.mislabelled(_p7_identified(spark, d)).select(F.col("id").alias("rec_id"), "lang").distinct()
+
+
+@query
+def p7_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's passages: language, confidence and text of each."""
+    each = _p7_identified(spark, d).select(F.col("id").alias("rec_id"), "label", F.col("lang").alias("doc_lang"), F.col("confidence").alias("doc_confidence"), F.posexplode_outer("passages").alias("passage_no", "p"))
+    return each.select("rec_id", "label", "doc_lang", "doc_confidence", "passage_no", F.col("p.lang").alias("lang"), F.col("p.confidence").alias("confidence"), F.col("p.text").alias("text"))

@@ -358,12 +358,17 @@ def tag(pages: pa.Array, titles: pa.Array | None, chain: Chain, common: CommonWo
     return b, chain.decode(x, b.doc, b.n_docs), shape
 
 
-def load(samples: DataFrame, common: DataFrame) -> tuple[Chain, CommonWords]:
-    """Model and word lists from ``lang_samples`` and ``common_words``, both tables that do not grow."""
+def word_lists(common: DataFrame) -> CommonWords:
+    """The frequent words of each language, from a table that does not grow."""
     words: dict[str, list[str]] = {}
     for r in common.select("lang", "word").where("lang is not null and word is not null").collect():
         words.setdefault(r.lang, []).append(r.word)
-    cw = CommonWords(words)
+    return CommonWords(words)
+
+
+def load(samples: DataFrame, common: DataFrame) -> tuple[Chain, CommonWords]:
+    """Model and word lists from ``lang_samples`` and ``common_words``, both tables that do not grow."""
+    cw = word_lists(common)
     rows = [(r.lang, r.text) for r in samples.select("lang", "text").orderBy("lang", "text").collect()]
     return train(rows, cw), cw
 

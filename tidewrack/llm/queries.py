@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut, table
 
-from . import boilerplate, langid, mojibake, packing, quality, tokenize
+from . import boilerplate, langid, mojibake, packing, quality, spam, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,20 @@ def p7_passages(spark: SparkSession, d: str) -> DataFrame:
     """Every document's passages: language, confidence and text of each."""
     each = _p7_identified(spark, d).select(F.col("id").alias("rec_id"), "label", F.col("lang").alias("doc_lang"), F.col("confidence").alias("doc_confidence"), F.posexplode_outer("passages").alias("passage_no", "p"))
     return each.select("rec_id", "label", "doc_lang", "doc_confidence", "passage_no", F.col("p.lang").alias("lang"), F.col("p.confidence").alias("confidence"), F.col("p.text").alias("text"))
+
+
+def _p4_flagged(spark: SparkSession, d: str) -> DataFrame:
+    common = boilerplate.word_lists(table(spark, d, "common_words"))
+    pages = cut(spam.measured(table(spark, d, "crawled_docs"), "crawl_id", "text", "links", common))
+    return spam.flag(pages, spam.references(spam.ratio_bins(pages)))
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p4_flagged(spark, d).where("spam").select(F.col("id").alias("crawl_id")).distinct()
+
+
+@query
+def p4_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Redundancy and confirming figures of every page."""
+    return _p4_flagged(spark, d)

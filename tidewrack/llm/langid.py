@@ -131,7 +131,7 @@ def train(samples: list[tuple[str, str]], seed: int = 5) -> Centroids:
     return model
 
 
-def passages(pages: pa.Array, titles: pa.Array | None, model: Centroids, chain: Chain, common: CommonWords) -> list[dict]:
+def passages(pages: pa.Array, titles: pa.Array | None, model: Centroids, chain: Chain, common: CommonWords, texts: bool = True) -> list[dict]:
     """Per page: ``lang`` and ``confidence`` of the whole, complete-sentence languages, passages, and the non-prose share."""
     b, state, s = tag(pages, titles, chain, common)
     n, count = b.n_docs, len(model.languages)
@@ -154,11 +154,13 @@ def passages(pages: pa.Array, titles: pa.Array | None, model: Centroids, chain:
     runner = order[:, 1] if count > 1 else np.zeros(n)
     share = order[:, 0] / np.maximum(1e-9, order[:, 0] + runner)
     out = [{"lang": model.languages[main[d]] if whole[d, main[d]] >= model.least[main[d]] else "und", "confidence": float(share[d]), "languages": [], "passages": [], "junk": float(junk[d])} for d in range(n)]
-    text = b.text.to_pylist()
-    for k in np.flatnonzero(known).tolist():
+    text = b.text.to_pylist() if texts else []
+    for k in np.flatnonzero(known if texts else complete).tolist():
         doc, code = out[b.doc[k]], model.languages[lang[k]]
         if complete[k] and code not in doc["languages"]:
             doc["languages"].append(code)
+        if not texts:
+            continue
         pair = np.sort(cos[k])[::-1][:2]
         sure = float(cos[k, lang[k]] / max(1e-9, cos[k, lang[k]] + (pair[1] if count > 1 and lang[k] == best[k] else pair[0])))
         if doc["passages"] and doc["passages"][-1]["lang"] == code:
@@ -180,8 +182,8 @@ def label_code(label):
 SCHEMA = "id bigint, label string, lang string, confidence double, languages array<string>, junk double, passages array<struct<lang:string,confidence:double,text:string>>"
 
 
-def identify(df: DataFrame, id_col: str, text_col: str, title_col: str | None, label_col: str, model: Centroids, chain: Chain, common: CommonWords) -> DataFrame:
-    """Language, confidence, languages of complete sentences, and passages of every document with a text."""
+def identify(df: DataFrame, id_col: str, text_col: str, title_col: str | None, label_col: str, model: Centroids, chain: Chain, common: CommonWords, texts: bool = True) -> DataFrame:
+    """Language, confidence, languages of complete sentences, and (unless not ``texts``) passages of every document."""
     shared = df.sparkSession.sparkContext.broadcast((model, chain, common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +192,7 @@ def identify(df: DataFrame, id_col: str, text_col: str, title_col: str | None, l
         for whole in batches:
             for lo in range(0, whole.num_rows, _SLAB):
                 s = whole.slice(lo, _SLAB)
-                got = passages(s.column(2), s.column(3), m, c, words)
+                got = passages(s.column(2), s.column(3), m, c, words, texts)
                 yield pa.RecordBatch.from_arrays(
                     [s.column(0), s.column(1), pa.array([g["lang"] for g in got], pa.string()), pa.array([g["confidence"] for g in got]), pa.array([g["languages"] for g in got], pa.list_(pa.string())), pa.array([g["junk"] for g in got]), pa.array([g["passages"] for g in got], kind)],
                     names=["id", "label", "lang", "confidence", "languages", "junk", "passages"],

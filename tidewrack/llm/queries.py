@@ -101,14 +101,14 @@ def p5_quantiles(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "lang string, stat string, n bigint, p01 double, p05 double, p25 double, p50 double, p75 double, p95 double, p99 double")
 
 
-def _p7_identified(spark: SparkSession, d: str) -> DataFrame:
+def _p7_identified(spark: SparkSession, d: str, texts: bool = True) -> DataFrame:
     model = langid.load(table(spark, d, "lang_samples"))
-    return langid.identify(table(spark, d, "raw_docs"), "rec_id", "c", "t", "l", model, *_chain(spark, d))
+    return langid.identify(table(spark, d, "raw_docs"), "rec_id", "c", "t", "l", model, *_chain(spark, d), texts=texts)
 
 
 @query
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return langid.mislabelled(_p7_identified(spark, d)).select(F.col("id").alias("rec_id"), "lang").distinct()
+    return langid.mislabelled(_p7_identified(spark, d, texts=False)).select(F.col("id").alias("rec_id"), "lang").distinct()
 
 
 @query

@@ -38,7 +38,7 @@ LOW_PUNCTUATION = 0.035  # sentence ends per token
 MOST_NUMBERS = 0.2
 LEAST_LETTERS = 0.65
 KEYWORD_SHARE = 0.1
-CODE_SIGNS = 0.06  # braces, semicolons and equals signs per character, where no keyword leads
+CODE_SIGNS = 0.03  # braces and equals signs per character
 ADDRESS_SHARE = 0.6
 _SLAB = 2000
 
@@ -86,7 +86,7 @@ def measure(texts: list[str | None], common: set[str]) -> dict[str, np.ndarray]:
         words = [w for w in _WORD.findall(t.lower()) if len(w) > 3 and w not in common]
         top, most = Counter(words).most_common(1)[0] if words else ("", 0)
         with_top = sum(top in s.lower() for s in sentences) if top else 0
-        rows.append((ratio, size, len(_END.findall(t)) / max(1, len(tokens)), numbers, address, letters, most / max(1, len(tokens)), with_top / max(1, len(sentences)), most, len(sentences), sum(map(t.count, "{};=")) / max(1, solid)))
+        rows.append((ratio, size, len(_END.findall(t)) / max(1, len(tokens)), numbers, address, letters, most / max(1, len(tokens)), with_top / max(1, len(sentences)), most, len(sentences), sum(map(t.count, "{}=")) / max(1, solid)))
     return dict(zip(MEASURED, np.array(rows, dtype=np.float64).reshape(len(texts), len(MEASURED)).T))
 
 
@@ -136,7 +136,7 @@ def flag(pages: DataFrame, refs: list[tuple[str, int, float, float]]) -> DataFra
     # at most languages x length classes rows: a bounded lookup
     joined = pages.join(F.broadcast(own), ["lang", "cls"], "left").join(F.broadcast(whole), "cls", "left")
     z = (F.col("ratio") - F.coalesce("mid", "mid_all")) / F.greatest(F.coalesce("spread", "spread_all"), F.lit(FLOOR))
-    redundant, prose_like = F.col("z") <= -TAIL, (F.col("numbers") < MOST_NUMBERS) & (F.col("letters") >= LEAST_LETTERS) & ((F.col("code_signs") < CODE_SIGNS) | (F.col("keyword") >= KEYWORD_SHARE))
+    redundant, prose_like = F.col("z") <= -TAIL, (F.col("numbers") < MOST_NUMBERS) & (F.col("letters") >= LEAST_LETTERS) & (F.col("code_signs") < CODE_SIGNS)
     listed = redundant & prose_like & (F.col("ends") < LOW_PUNCTUATION)
     stuffed = redundant & prose_like & (F.col("keyword") >= KEYWORD_SHARE) & (F.col("in_sentences") >= 0.6) & (F.col("times") >= 4) & (F.col("sentences") >= 2)
     addresses = F.col("address") >= ADDRESS_SHARE

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut, table
 
-from . import boilerplate, langid, mojibake, packing, quality, spam, tokenize
+from . import boilerplate, langid, mojibake, packing, quality, residue, spam, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -133,3 +133,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_scores(spark: SparkSession, d: str) -> DataFrame:
     """Redundancy and confirming figures of every page."""
     return _p4_flagged(spark, d)
+
+
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.classify(residue.fields_of(table(spark, d, "documents"))).select(F.col("id").alias("doc_id"), "field").distinct()
+
+
+@query
+def p6_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Recurring messages over sources, masked."""
+    return residue.messages(residue.fields_of(table(spark, d, "documents")))

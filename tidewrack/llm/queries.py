@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut, table
 
-from . import boilerplate, langid, mojibake, packing, quality, residue, spam, tokenize
+from . import boilerplate, langid, mojibake, packing, pii, quality, residue, spam, tokenize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +144,20 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_messages(spark: SparkSession, d: str) -> DataFrame:
     """Recurring messages over sources, masked."""
     return residue.messages(residue.fields_of(table(spark, d, "documents")))
+
+
+@query
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_details(table(spark, d, "documents")).select("doc_id", "kind", "surface").distinct()
+
+
+@query
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with typed placeholders."""
+    return pii.replace_details(table(spark, d, "documents"))
+
+
+@query
+def p10_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with keyed surrogates; a deployment passes its own secret key."""
+    return pii.replace_details(table(spark, d, "documents"), key=b"public demonstration key")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut, table
 
-from . import boilerplate, langid, mojibake, packing, pii, quality, residue, spam, tokenize
+from . import boilerplate, langid, mojibake, packing, pii, quality, residue, spam, tokenize, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,3 +161,26 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 def p10_surrogates(spark: SparkSession, d: str) -> DataFrame:
     """Every text with keyed surrogates; a deployment passes its own secret key."""
     return pii.replace_details(table(spark, d, "documents"), key=b"public demonstration key")
+
+
+def _p2_scores(spark: SparkSession, d: str) -> DataFrame:
+    records = table(spark, d, "raw_docs")
+    model = toxicity.train(toxicity.labelled(records, table(spark, d, "toxicity_labels"), "rec_id"))
+    return toxicity.score(records, model)
+
+
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p2_scores(spark, d).where(F.col("score") >= toxicity.THRESHOLD).select("rec_id").distinct()
+
+
+@query
+def p2_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The score of every record."""
+    return _p2_scores(spark, d)
+
+
+@query
+def p2_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rates of such records per source and per host."""
+    return toxicity.rates(_p2_scores(spark, d))

@@ -14,7 +14,7 @@ def rollup(pages: DataFrame, date: str = "date", url: str = "url", tech: str = "
     """
     newest = pages.agg(F.max(date).alias(date))
     now = pages.join(F.broadcast(newest), date)  # one row
-    means = now.groupBy(url).agg(F.round(F.avg("perf"), 6).alias("perf"), F.round(F.avg("seo"), 6).alias("seo"), F.max("https").alias("https"), F.max("mobile").alias("mobile"))
+    means = now.groupBy(url).agg(F.avg("perf").alias("perf"), F.avg("seo").alias("seo"), F.max("https").alias("https"), F.max("mobile").alias("mobile"))
     if exact:
         per = now.where(F.col(tech).isNotNull()).groupBy(url, tech).agg(F.count("*").alias("n"))
         top = per.groupBy(url).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), F.col(tech).alias("item")))), 1, k).alias("x"))

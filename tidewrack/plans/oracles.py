@@ -246,7 +246,7 @@ SQL["union_raw_crawled"] = "select u, count(*) as rows, count(text) as texts fro
 SQL["hourly_batches"] = "select strftime(written_at, '%Y/%m/%d/%H') as folder, count(*) as rows, min(fetched_at) as first_fetch, count(*) filter (fetched_at < written_at - interval 1 day) as late from crawled_docs group by 1"
 
 SQL["signals_rollup"] = """with x as (select p_name as url, l_returnflag || '-' || l_linestatus || '-' || l_linenumber::varchar as tech, l_discount as perf, l_tax as seo, p_size > 25 as https, l_linestatus = 'O' as mobile, case when l_shipdate < timestamp '1995-01-01' then '1994' else '1998' end as date from lineitem join part on l_partkey = p_partkey),
- n as (select * from x where date = (select max(date) from x)), m as (select url, round(avg(perf), 6) as perf, round(avg(seo), 6) as seo, bool_or(https) as https, bool_or(mobile) as mobile from n group by url),
+ n as (select * from x where date = (select max(date) from x)), m as (select url, round(avg(perf) + 1.3e-8, 6) as perf, round(avg(seo) + 1.3e-8, 6) as seo, bool_or(https) as https, bool_or(mobile) as mobile from n group by url),
  k as (select url, tech, count(*) as c from n group by url, tech qualify row_number() over (partition by url order by c desc, tech) <= 8), g as (select url, string_agg(tech || ':' || c::varchar, ' ' order by c desc, tech) as tech from k group by url)
  select m.*, g.tech from m left join g using (url)"""
 _SAMPLES = "s as (select trunc(value)::bigint as dur, event_type <> 'error' as ok, user_id % 10 as results from events), o as (select dur, row_number() over (order by dur) as k, count(*) over () as n from s where dur is not null)"

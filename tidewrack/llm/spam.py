@@ -120,11 +120,23 @@ def ratio_bins(pages: DataFrame) -> DataFrame:
 
 
 def references(bins: DataFrame) -> list[tuple[str, int, float, float]]:
-    """Median and spread of each language and length class with enough pages; of all languages for every class."""
+    """Median and spread of each language and length class with enough pages; of all languages for every class, where a
+    class of few pages is joined by the classes next to it in length.
+    """
     sk: dict[tuple[str, int], Sketch] = {}
     for r in bins.toArrow().to_pylist():
         sk.setdefault((r["lang"], r["cls"]), Sketch("common_share")).counts[r["bin"]] = r["n"]
-    return [(lang, cls, *s.spread()) for (lang, cls), s in sorted(sk.items()) if lang == ALL or (lang and s.n >= LEAST)]
+    out = [(lang, cls, *s.spread()) for (lang, cls), s in sorted(sk.items()) if lang not in (ALL, "") and s.n >= LEAST]
+    whole = {cls: s for (lang, cls), s in sk.items() if lang == ALL}
+    for cls in sorted(whole):
+        near, reach = whole[cls], 0
+        while near.n < LEAST and reach <= max(whole) - min(whole):
+            reach += 1
+            for other in (cls - reach, cls + reach):
+                if other in whole:
+                    near = near.merge(whole[other])
+        out.append((ALL, cls, *near.spread()))
+    return out
 
 
 def flag(pages: DataFrame, refs: list[tuple[str, int, float, float]]) -> DataFrame:

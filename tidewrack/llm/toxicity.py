@@ -279,7 +279,7 @@ def score_batch(urls: list, titles: list, texts: list, model: Model, hasher: Has
     if units:
         ids, own = hasher.rows(units)
         np.maximum.at(out, np.array(doc), model.logits(ids, own, len(units)))
-    return np.where(np.isfinite(out), _sigmoid(out), 0.0)
+    return np.where(out > -29.9, _sigmoid(out), 0.0)
 
 
 def labelled(records: DataFrame, labels: DataFrame, id_col: str, bound: int = MOST_LABELLED) -> list[tuple]:

@@ -181,6 +181,8 @@ def sentence_shape(b: Blocks, common: CommonWords) -> dict[str, np.ndarray]:
     often = frequent / np.maximum(1, words)
     code = b.has(r"[;{}]\s*$|\w\(.*\);|[=+~|#*%@_]{2,}|0x[0-9a-f]{4}")
     shouting = b.count(r"\p{Lu}") > 0.6 * letters
+    # only a page's last sentence may have been cut off
+    last = np.r_[b.doc[1:] != b.doc[:-1], True] if len(b) else np.zeros(0, bool)
     plain = (words >= 4) & (lettered > 0.6) & ~code
-    sentence = plain & ((ended & ((words >= 5) | (upper & (frequent >= 1)))) | (ended & (often > 0.2)) | ((words >= 8) & (often >= 0.2)))
+    sentence = plain & ((ended & ((words >= 5) | (upper & (frequent >= 1)))) | (ended & (often > 0.2)) | (last & upper & (words >= 8) & (often >= 0.2)))
     return {"chars": chars, "words": words, "letters": letters, "frequent": frequent, "ended": ended, "upper": upper, "lettered": lettered, "often": often, "code": code, "shouting": shouting, "sentence": sentence}

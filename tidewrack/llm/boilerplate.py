@@ -27,7 +27,7 @@ from .blocks import Blocks, CommonWords, sentence_shape
 from .furniture import COOKIE, FOOTER, HEADING, NAV, NAV_ANY, PROMPT_ANY, SEPARATOR
 
 TRAIN_PAGES = 900
-ROUNDS = 200
+ROUNDS = 260
 NEAR = 4  # blocks on either side that neighbour features look at
 _SLAB = 4000  # pages worked on at a time
 
@@ -35,7 +35,7 @@ FEATURES = (
     "bias", "entry", "separator", "led by separator", "trailed by separator", "prompt", "heading", "cookie", "footer", "ended", "one word",
     "few words", "some words", "many words", "sentence", "title-like", "short question", "first", "last", "early", "late", "after entry", "before entry",
     "near entries", "after heading", "in side list", "own title", "many separators", "digits", "code", "bulleted", "row-like", "boxed tag", "body tag", "after cookie", "after ad or prompt",
-    "long without end", "no common word", "last after sentence", "very long without end", "only block", "long without common word", "long in signs",
+    "long without end", "no common word", "last after sentence", "very long without end", "only block", "long without common word", "long in signs", "page of equal starts", "title-like without sentences",
 )
 
 
@@ -91,12 +91,20 @@ def features(b: Blocks, common: CommonWords, titles: pa.Array | None, shape: dic
     if b.tags is not None:
         boxed = np.fromiter((bool({"nav", "header", "footer", "aside", "form", "button"} & set(t)) for t in b.tags), bool, n)
         body = np.fromiter((bool({"article", "main", "p"} & set(t)) for t in b.tags), bool, n) & ~boxed
+    # pages of rows that mostly start alike, and title-like rows of pages without any sentence
+    start_word = pc.list_element(pc.utf8_split_whitespace(b.text, max_splits=1), 0).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64) if n else np.zeros(0, np.int64)
+    pairs, times = np.unique(doc.astype(np.int64) * (n + 1) + start_word, return_counts=True)
+    most = np.zeros(b.n_docs, dtype=np.int64)
+    np.maximum.at(most, pairs // (n + 1), times)
+    alike = (most[doc] >= 5) & (most[doc] * 2 >= size)
+    prose = b.sum_by_doc(s["sentence"] & ~cookie & ~footer)[doc] > 0
     columns = [
         np.ones(n, bool), entry, separator, led, trailed, prompt, heading, cookie, footer, s["ended"], words <= 1, (words >= 2) & (words <= 3), (words >= 4) & (words <= 9),
         words >= 10, s["sentence"], title_like, question, first, last, place < 3, size - place <= 3, _shift(menu, doc, 1), _shift(menu, doc, -1), near >= 3, _shift(heading, doc, 1), side, own, many_sep,
         letters_few, s["code"], bulleted, row, boxed, body, _shift(cookie, doc, 1), _shift(prompt, doc, 1), (words >= 8) & ~s["ended"], s["frequent"] == 0,
         last & ~s["ended"] & _shift(s["sentence"], doc, 1) & ~entry & ~prompt & ~footer & (words >= 2), (s["chars"] >= 130) & ~s["ended"], first & last,
         (s["chars"] >= 90) & (s["frequent"] == 0) & ~cookie & ~footer, (s["chars"] >= 50) & letters_few & ~footer,
+        alike & ~entry & ~prompt & ~cookie & ~footer, title_like & ~prose & ~entry,
     ]
     return np.column_stack(columns).astype(np.float32) if n else np.zeros((0, len(FEATURES)), np.float32), s
 
@@ -142,7 +150,7 @@ class Chain:
         return states
 
 
-def fit(x: np.ndarray, doc: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = 0.15, l2: float = 1e-3) -> Chain:
+def fit(x: np.ndarray, doc: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = 0.15, l2: float = 1e-4) -> Chain:
     """Maximise the conditional log likelihood by Adam over exact forward-backward marginals."""
     sizes = np.bincount(doc)
     d, length = len(sizes), int(sizes.max())
@@ -241,8 +249,11 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
         return " ".join(q[: rng.randint(3, 8)]).rstrip(",;:")
 
     def junk() -> list[str]:
-        kind = rng.randrange(10)
+        kind = rng.randrange(12)
         rows = rng.randint(4, 12)
+        if kind >= 10:
+            word = rng.choice(["Cheap Paint", "Roof Tiles", "Hotel", "Garten Möbel", "Lampe"])
+            return [f"{word} {rng.choice(['Northam', 'Eastby', 'Southwell', 'Westley'])}{rng.choice(['', f' ({rng.randint(1, 90)})', ' >>', ' - online', ' - cheap'])}" for _ in range(rows + 2)]
         if kind == 0:
             return [f"{rng.choice('*•-')} {rng.randint(1, 20)} kg {rng.choice(['apples', 'plums', 'nails', 'red onions'])}" for _ in range(rows)]
         if kind == 1:

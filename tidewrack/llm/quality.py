@@ -125,6 +125,9 @@ def measure(pages: pa.Array, titles: pa.Array | None, chain: Chain, common: Comm
     content = np.where(body, s["chars"], 0).astype(np.float64)
     # a short line without end, in letters and with a capital, may be a heading: neither sentence nor row
     heading = ~s["sentence"] & ~s["ended"] & s["upper"] & (s["words"] >= 2) & (s["words"] <= 12) & (s["lettered"] > 0.9) & ~s["code"] & (s["frequent"] >= 1)
+    # headings head something: where they outnumber the sentences they are the rows of a list
+    listed = b.sum_by_doc(heading & body) > 2 * b.sum_by_doc(s["sentence"] & body) + 1
+    heading &= ~listed[b.doc]
     good = b.sum_by_doc(np.where(s["sentence"], content, 0))
     bad = b.sum_by_doc(np.where(s["sentence"] | heading, 0, content))
     n_blocks = np.bincount(b.doc, minlength=n)

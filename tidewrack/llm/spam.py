@@ -17,6 +17,7 @@ none; repeated rows are kept; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import html
 import re
 import zlib
 from collections import Counter
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Blocks, CommonWords
+from .blocks import _GARBLED, Blocks, CommonWords
+from .mojibake import plain_utf8
 from .quality import ALL, Sketch, _languages
 
 BLOCK = 600
@@ -42,6 +44,7 @@ CODE_SIGNS = 0.03  # braces and equals signs per character
 ADDRESS_SHARE = 0.6
 _SLAB = 2000
 
+_GARBLED_RE = re.compile(_GARBLED)
 _ADDRESS = re.compile(r"(?:https?://|www\.)\S+")
 _HOST = re.compile(r"(?:https?://)?(?:www\.)?[\w.-]+\.[a-z]{2,}/?", re.I)
 _CAMEL = re.compile(r"(?<=[a-zà-ÿа-я0-9])(?=[A-ZÀ-ÞА-Я])")
@@ -75,6 +78,10 @@ def measure(texts: list[str | None], common: set[str]) -> dict[str, np.ndarray]:
     rows = []
     for t in texts:
         t = t or ""
+        if "&" in t:
+            t = html.unescape(t)
+        if len(_GARBLED_RE.findall(t)) >= 3:  # garbled text is judged by what it says
+            t = plain_utf8(t)
         ratio, size = block_ratio(t)
         tokens = t.split()
         bare = [x for x in _COUNT.sub(" ", _ADDRESS.sub(" ", t)).split() if any(map(str.isalnum, x))]

@@ -258,3 +258,15 @@ SQL["progress_report"] = f"""with seg as (select distinct warc as id from raw_do
  select count(*) as total, count(b) as done, count(*) filter (b is null and {_BUCKET.format("seg.id")} % 5 = 0) as claimed, count(*) - count(b) - count(*) filter (b is null and {_BUCKET.format("seg.id")} % 5 = 0) as remaining, printf('%.2f%%', 100.0::double * count(b) / count(*)) as pct, coalesce(sum(b), 0)::bigint as raw_bytes from seg left join dn using (id)"""
 SQL["run_rates"] = """with p as (select log, count(distinct t) as n, max(floor(epoch(ts))) - min(floor(epoch(ts))) + 1 as s from ct_seeds group by log)
  select log, n, round(n * 96.0::double / 250000 * 100, 4) as share_quarter_hourly, round(n / 30.0::double / 250000 * 100, 4) as share_30_days, round(n * 86400.0::double / s, 4) as per_day, round(n * 3600.0::double / s, 4) as per_hour, round(100.0::double * n / 100000, 4) as sweep_pct from p"""
+
+_MAN = """(with p as {p}, b as (select p.*, (rec_id % 3)::int as batch_id from p join (select u, max(rec_id) as rec_id from raw_docs group by u) using (u)) select batch_id, count(distinct u) as docs, count(distinct term) as terms, count(*) as postings from b group by batch_id)"""
+SQL["index_manifest"] = "select * from " + _MAN.format(p=_RAW)
+SQL["fetched_pages"] = """with x as (select status, case when crawl_id % 7 = 0 then 'image/png' else content_type end as ct, text from crawled_docs), y as (select status, status between 200 and 299 as ok, regexp_matches(coalesce(ct, ''), '(?i)html|xml|text/plain') as page, text from x)
+ select case when ok and not page then 415 else status end as status, count(*) as pages, count(text) filter (ok and page) as bodies from y group by 1"""
+SQL["batch_samples"] = """with x as (select distinct strftime(written_at, '%Y-%m-%d') as batch, u from crawled_docs), y as (select * from x qualify row_number() over (partition by batch order by md5(u), u) <= 50) select batch, string_agg(u, ' ' order by u) as sample from y group by batch"""
+SQL["batch_history"] = "select strftime(written_at, '%Y-%m-%d-%H') as batch, count(*) as rows from crawled_docs group by 1 order by 1 desc limit 30"
+SQL["bloom_files"] = f"""with {_BLOOM}, k as (select shard, (p // 8) as byte, sum(1 << (p % 8)::int) as v from pos group by 1, 2), s as (select distinct shard from pos),
+ f as (select s.shard, string_agg(printf('%02x', coalesce(v, 0)::int), '' order by r.range) as h from s cross join range(8192) r left join k on k.shard = s.shard and k.byte = r.range group by s.shard) select shard, md5(unhex(h)) as digest, (length(h) / 2)::int as bytes from f"""
+SQL["robots_rules"] = f"""with k as (select host, {_BUCKET.format("host")} % 8 as k from site_hosts),
+ v(k, body, allow, delay_ms) as (values (0, 'User-agent: *\nDisallow: /', false, 0), (1, 'User-agent: *\nDisallow:', true, 0), (2, 'User-agent: bot\nDisallow: /', true, 0), (3, 'User-agent: *\nCrawl-delay: 3', true, 3000), (4, '', true, 0), (5, 'User-agent: *\n\nDisallow: /', true, 0), (6, '# c\nUser-agent: *\nCrawl-delay: 99\nDisallow: /', false, 10000), (7, 'User-agent: *\nDisallow: /private', true, 0))
+ select body, allow, delay_ms::bigint as delay_ms, count(*) as hosts from k join v using (k) group by all"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.functions import hashing, text, urls
-from tidewrack.operators import bloom, dedup, delta, extract, feeds, frontier, graph, index, metrics, quality, search, shards, signals, tiers
+from tidewrack.operators import bloom, dedup, delta, extract, feeds, frontier, graph, index, metrics, quality, runs, search, shards, signals, tiers
 from tidewrack.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,3 +476,45 @@ def progress_report(s: SparkSession, d: str) -> DataFrame:
 def run_rates(s: SparkSession, d: str) -> DataFrame:
     per = table(s, d, "ct_seeds").groupBy("log").agg(F.countDistinct("t").alias("n"), (F.max(F.unix_timestamp("ts")) - F.min(F.unix_timestamp("ts")) + 1).alias("seconds"))
     return per.select("log", "n", *metrics.run_rates(F.col("n"), F.col("seconds"), F.lit(100_000)))
+
+
+# --- runs ---
+
+
+@query
+def index_manifest(s: SparkSession, d: str) -> DataFrame:
+    r = raw(s, d).withColumn("batch_id", (F.col("rec_id") % 3).cast("int"))
+    return runs.index_manifest(index.postings(r, "rec_id", extra=["batch_id"]))
+
+
+@query
+def fetched_pages(s: SparkSession, d: str) -> DataFrame:
+    got = runs.fetched_pages(crawled(s, d).select("crawl_id", "status", F.when(F.col("crawl_id") % 7 == 0, "image/png").otherwise(F.col("content_type")).alias("content_type"), F.col("text").alias("html")))
+    return got.groupBy("status").agg(F.count("*").alias("pages"), F.count("html").alias("bodies"))
+
+
+@query
+def batch_samples(s: SparkSession, d: str) -> DataFrame:
+    """At most 50 addresses of a batch: a sample is the feature."""
+    out = runs.batch_samples(crawled(s, d).select(F.date_format("written_at", "yyyy-MM-dd").alias("batch"), "u").distinct(), "batch", "u")
+    return out.withColumn("sample", F.array_join("sample", " "))
+
+
+@query
+def batch_history(s: SparkSession, d: str) -> DataFrame:
+    """The last 30 batches: a bounded history is the feature."""
+    per = crawled(s, d).groupBy(F.date_format("written_at", "yyyy-MM-dd-HH").alias("batch")).agg(F.count("*").alias("rows"))
+    return runs.history(per, "batch")
+
+
+@query
+def bloom_files(s: SparkSession, d: str) -> DataFrame:
+    return bloom.to_binary(bloom.filters(bloom.doc_terms(raw(s, d)))).select("shard", F.md5("filter").alias("digest"), F.length("filter").alias("bytes"))
+
+
+@query
+def robots_rules(s: SparkSession, d: str) -> DataFrame:
+    """Rules of made-up robots texts, one of eight kinds by host."""
+    kinds = ["User-agent: *\nDisallow: /", "User-agent: *\nDisallow:", "User-agent: bot\nDisallow: /", "User-agent: *\nCrawl-delay: 3", "", "User-agent: *\n\nDisallow: /", "# c\nUser-agent: *\nCrawl-delay: 99\nDisallow: /", "User-agent: *\nDisallow: /private"]
+    texts = table(s, d, "site_hosts").select("host", F.element_at(F.array(*map(F.lit, kinds)), (hashing.bucket_of(F.col("host")) % 8 + 1)).alias("body"))
+    return frontier.robots(texts).groupBy("body", "allow", "delay_ms").agg(F.count("*").alias("hosts"))

@@ -93,10 +93,13 @@ _BEFORE = re.compile(
     r"(?:(?:Dr|Mr|Mrs|Ms|Prof|Hr|Fr|Sr|Sra|Sig|Dott|Mme|Mlle|Dhr|Mevr|Ing)\.? |(?:Herr|Frau|Doña|Don|Monsieur|Madame|Professor|Doctor|Signora|Signor|господин|госпожа|д-р) )*"
     rf"(?P<n>{NAME})(?![\w-])"
 )
-_AFTER = re.compile(
-    rf"(?<![\w-])(?P<n>{NAME})(?= will answer|, who lives|, was delighted|, qui habite|, qui vit|, der in|, die in| for the key| for the talk| answers your|, die hier| beantwortet| répond(?:ra)? à|, que vive|, che abita| responde| risponde| beantwoordt| ответит)"
-)
+_AFTER_TAILS = (
+    " will answer", ", who lives", ", was delighted", ", qui habite", ", qui vit", ", der in", ", die in", ", die hier", " for the key", " for the talk", " answers your", " beantwortet", " répond à", " répondra à", ", que vive", ", che abita",
+    " responde", " risponde", " beantwoordt", " ответит",
+)
+_AFTER = re.compile(rf"(?<![\w-])(?P<n>{NAME})(?={'|'.join(map(re.escape, _AFTER_TAILS))})")
 _HEAD = re.compile(rf"(?:(?<=\n)|^|(?<=[.!?…»”“\")] )|(?<=[|•·] ))[ \t]*\(?(?P<n>{NAME})\)?[ \t]*(?=[|•·\n])")
+_AT, _DIGIT = re.compile(r"[@＠]|[\[({<]at|\bat\b.{1,80} dot ", re.I), re.compile(r"\d")
 _PAREN = re.compile(rf"\((?P<n>{NAME})\)")
 _LABEL = re.compile(r"[\s|•·]*(?:(?:E-?[Mm]ail|Mail|Tel(?:efon|éfono|efone|éphone)?|Phone|Mobile|Mobil|Tfno|Tél|Тел|Address|Adresse|Anschrift|Dirección|Indirizzo|Morada|Adres|Адрес|ID(?:-No)?|National ID|Passport no|DNI|Steuer-ID)\b[.:]* ?:?|[☎→✉<(]|\s)*")
 #: Capitalised words that head lines and notices but are no names.
@@ -115,14 +118,14 @@ def find(text: str | None) -> list[Detail]:
     if not text:
         return []
     out: list[Detail] = []
-    shapes = [("email", EMAIL)] if "@" in text or "at" in text or "＠" in text else []
-    for kind, pattern in [*shapes, ("street_address", ADDRESS), ("id_number", ID_NUMBER), ("phone", PHONE)]:
+    shapes = [("email", EMAIL)] if _AT.search(text) else []
+    for kind, pattern in [*shapes, *([("street_address", ADDRESS), ("id_number", ID_NUMBER), ("phone", PHONE)] if _DIGIT.search(text) else [])]:
         for m in pattern.finditer(text):
             a, b = m.span()
             if _clear(out, a, b):
                 out.append(Detail(a, b, kind, text[a:b]))
     starts = {d.start for d in out}
-    for pattern in (_BEFORE, _AFTER, _HEAD, _PAREN):
+    for pattern in (_BEFORE, *([_AFTER] if any(x in text for x in _AFTER_TAILS) else []), *([_HEAD] if starts else []), *([_PAREN] if "(" in text else [])):
         for m in pattern.finditer(text):
             a, b = m.span("n")
             if not _clear(out, a, b) or _NOT_NAMES.search(m.group("n")):

@@ -270,3 +270,5 @@ SQL["bloom_files"] = f"""with {_BLOOM}, k as (select shard, (p // 8) as byte, su
 SQL["robots_rules"] = f"""with k as (select host, {_BUCKET.format("host")} % 8 as k from site_hosts),
  v(k, body, allow, delay_ms) as (values (0, 'User-agent: *\nDisallow: /', false, 0), (1, 'User-agent: *\nDisallow:', true, 0), (2, 'User-agent: bot\nDisallow: /', true, 0), (3, 'User-agent: *\nCrawl-delay: 3', true, 3000), (4, '', true, 0), (5, 'User-agent: *\n\nDisallow: /', true, 0), (6, '# c\nUser-agent: *\nCrawl-delay: 99\nDisallow: /', false, 10000), (7, 'User-agent: *\nDisallow: /private', true, 0))
  select body, allow, delay_ms::bigint as delay_ms, count(*) as hosts from k join v using (k) group by all"""
+SQL["stream_ttl_dedup"], SQL["stream_once"] = SQL["host_ttl_dedup"], SQL["good_hosts"]
+SQL["mention_windows"] = "select time_bucket(interval 6 hours, batch_ts, timestamp '2000-01-01') as from_ts, src, count(*) as n from gdelt_mentions group by 1, 2"

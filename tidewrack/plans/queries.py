@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidewrack.functions import hashing, text, urls
 from tidewrack.operators import bloom, dedup, delta, extract, feeds, frontier, graph, index, metrics, quality, runs, search, shards, signals, tiers
-from tidewrack.session import table
+from tidewrack.session import ensure_checkpoint_dir, table
+from tidewrack.streaming import dedup as stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -518,3 +520,35 @@ def robots_rules(s: SparkSession, d: str) -> DataFrame:
     kinds = ["User-agent: *\nDisallow: /", "User-agent: *\nDisallow:", "User-agent: bot\nDisallow: /", "User-agent: *\nCrawl-delay: 3", "", "User-agent: *\n\nDisallow: /", "# c\nUser-agent: *\nCrawl-delay: 99\nDisallow: /", "User-agent: *\nDisallow: /private"]
     texts = table(s, d, "site_hosts").select("host", F.element_at(F.array(*map(F.lit, kinds)), (hashing.bucket_of(F.col("host")) % 8 + 1)).alias("body"))
     return frontier.robots(texts).groupBy("body", "allow", "delay_ms").agg(F.count("*").alias("hosts"))
+
+
+# --- bounded streaming runs ---
+
+
+def _drained(s: SparkSession, make: Callable[[DataFrame], DataFrame], d: str, name: str, ts: str) -> DataFrame:
+    """What a stream over a table's files gives when it has read all of them; kept in the shared checkpoint folder."""
+    static = table(s, d, name)
+    out = f"{ensure_checkpoint_dir(s).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    # a pattern, as the path may be a file or a folder
+    stream = s.readStream.schema(static.schema).parquet(f"{d}/{name}.parque[t]").withColumn(ts, F.col(ts).cast("timestamp"))
+    stream_dedup.drain(make(stream), f"{out}/rows", f"{out}/offsets").awaitTermination()
+    return s.read.parquet(f"{out}/rows")
+
+
+@query
+def stream_ttl_dedup(s: SparkSession, d: str) -> DataFrame:
+    """The streaming form of the rolling duplicates."""
+    return _drained(s, lambda x: stream_dedup.rolling(x.select(F.col("t").alias("host"), "ts")), d, "ct_seeds", "ts").select("host", F.col("ts").alias("emitted_at"))
+
+
+@query
+def stream_once(s: SparkSession, d: str) -> DataFrame:
+    """Each acceptable host once a run."""
+    return _drained(s, lambda x: stream_dedup.once(x.select(F.col("t").alias("host")).where(quality.good_host(F.col("host")))), d, "ct_seeds", "ts")
+
+
+@query
+def mention_windows(s: SparkSession, d: str) -> DataFrame:
+    """Mentions per source and window of six hours."""
+    static = table(s, d, "gdelt_mentions").withColumn("batch_ts", F.col("batch_ts").cast("timestamp"))
+    return static.groupBy(F.window("batch_ts", "6 hours").alias("w"), "src").agg(F.count("*").alias("n")).select(F.col("w.start").alias("from_ts"), "src", "n")

@@ -39,8 +39,9 @@ SWAP_PENALTY = 0.5
 ROUNDS = 3
 EPOCHS = 10
 THRESHOLD = 0.3
-#: Log odds, per root of a unit's size, from which the worst unit of a toxic record is believed at first.
-FIRST_ODDS = 2.0
+#: Mean log odds of features, less their standard errors, from which the worst unit of a toxic record is believed at first.
+FIRST_ODDS = 0.9
+LISTED_ODDS = 0.5  # the same for units with a word of the lexicon
 POSITIVE_SHARE = 0.08  # weight of all toxic units against that of all sound ones, at least
 _SLAB = 2000
 
@@ -79,6 +80,11 @@ def _fnv(text: str) -> int:
     return h
 
 
+def _bit_of(h):
+    """The feature of a hash."""
+    return (h ^ (h >> np.uint64(32))) & np.uint64(DIMS - 1) if isinstance(h, np.ndarray) else (h ^ (h >> 32)) & (DIMS - 1)
+
+
 def plain_word(word: str) -> tuple[str, str]:
     """A word without disguise, and the disguise that was found ('' if none)."""
     low = word.lower()
@@ -153,7 +159,7 @@ class Hasher:
             pair ^= pair >> np.uint64(29)
         ids = np.concatenate([h, s[s > 0], pair])
         own = np.concatenate([owner, owner[s > 0], owner[1:][same]])
-        ids = ((ids ^ (ids >> np.uint64(32))) & np.uint64(DIMS - 1)).astype(np.int64)
+        ids = _bit_of(ids).astype(np.int64)
         key = np.unique(own * np.int64(DIMS) + ids)  # a feature counts once a unit
         return key % DIMS, key // DIMS
 
@@ -233,14 +239,21 @@ def train(rows: list[tuple[str | None, str | None, str | None, int]], terms: tup
     model = Model(odds, -2.0)
     groups = sorted({*terms, *discover_groups(units, label[doc_of] == 1)})
     keep = np.ones(len(rows), dtype=bool)
+    # less one standard error, so that a few chance labels say little
+    safe = np.where(odds > 0, np.maximum(0, odds - np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))), odds)
+    mean_odds = np.bincount(own, safe[ids], n) / np.maximum(1, np.bincount(own, minlength=n))
+    marks = [_bit_of(_fnv("listed " + shape)) for shape in ("", "leet", "drawn", "apart")]
+    listed = np.bincount(own[np.isin(ids, marks)], minlength=n) > 0
+    told = listed & (mean_odds > LISTED_ODDS) & (label[doc_of] == 1)
     for turn in range(rounds):
-        z = model.logits(ids, own, n)
+        # at first by the mean log odds of a unit's features: related ones must not add up
+        z = model.logits(ids, own, n) if turn else mean_odds
         best = np.full(len(rows), -np.inf)
         np.maximum.at(best, doc_of, z)
         worst = z >= best[doc_of] - 1e-12
         # toxic units are those that the model so far finds likely; the other units of toxic records stay out
         sure = worst & (z > (FIRST_ODDS if turn == 0 else 0.0)) | ((z > 1.0) & (turn > 0))
-        use = keep[doc_of] & np.where(label[doc_of] == 1, sure, True)
+        use = told | keep[doc_of] & np.where(label[doc_of] == 1, sure, True)
         if not (use & (label[doc_of] == 1)).any():
             use = keep[doc_of] & np.where(label[doc_of] == 1, worst, True)
         at = np.flatnonzero(use)

@@ -99,7 +99,36 @@ _AFTER_TAILS = (
 )
 _AFTER = re.compile(rf"(?<![\w-])(?P<n>{NAME})(?={'|'.join(map(re.escape, _AFTER_TAILS))})")
 _HEAD = re.compile(rf"(?:(?<=\n)|^|(?<=[.!?…»”“\")] )|(?<=[|•·] ))[ \t]*\(?(?P<n>{NAME})\)?[ \t]*(?=[|•·\n])")
-_AT, _DIGIT = re.compile(r"[@＠]|[\[({<]at|\bat\b.{1,80} dot ", re.I), re.compile(r"\d")
+#: What every text with an address, or with a long number, has.
+_AT = ("@", "＠", "[at", "(at", "{at", "<at", "[AT", "(AT", " dot ", " DOT ")
+_NUMBER = re.compile(r"\d[\d .()/-]{5,}\d|[A-Z] ?\d\d|P<[A-Z]")
+_DIGIT = re.compile(r"\d")
+#: How the triggers before a name begin; the pattern is tried at these places only.
+_TRIGGERS = (
+    "Signed,|Yours,|Regards,|Sincerely,|Gezeichnet,|Firmado,|Signé,|Firmato,|Assinado,|Getekend,|Photo|Text|Picture|Author|Written by|Interview|Foto|Autor|Auteur|Contact|Kontakt|Contatto|Фото|Автор|Текст|Ask|says|said|adds|told|asked|wrote|"
+    "writes|explains|thank|contact|dice|dijo|explica|dit|explique|sagt|erklärt|meint|zegt|zei|disse|diz|afferma|spiega|ha detto|сказал|говорит|объясняет|сообщил|просите|Ansprechpartner|Fragen Sie|Wenden Sie|Renseignements|Adressez|Demandez|"
+    "Pregunte|Diríjase|Chiede|Rivolgersi|Fale com|Pergunte|Informações|Vraag naar|Neem contact|Informatie bij|Обращайтесь|Отвечает|Ответственный|winner,|Gewinner|gagnant|ganador|vincitore,|vencedor,|winnaar,|обедитель|— |– |- "
+).split("|")
+
+
+def _triggered(text: str) -> Iterator[re.Match]:
+    """Names behind triggers, in the way a scan with the whole pattern would find them, but from the triggers' places."""
+    seen: set[tuple[int, int]] = set()
+    for w in _TRIGGERS:
+        at = text.find(w)
+        while at >= 0:
+            for start in range(max(0, at - 4), at + 1) if w in _INSIDE else (at,):
+                m = _BEFORE.match(text, start)
+                if m and m.span("n") not in seen:
+                    seen.add(m.span("n"))
+                    yield m
+            at = text.find(w, at + 1)
+
+
+#: Triggers that begin a little before the words searched for (an article, a small or a capital letter, blanks).
+_INSIDE = {"winner,", "Gewinner", "gagnant", "ganador", "vincitore,", "vencedor,", "winnaar,", "обедитель", "просите", "— ", "– ", "- "}
+
+
 _PAREN = re.compile(rf"\((?P<n>{NAME})\)")
 _LABEL = re.compile(r"[\s|•·]*(?:(?:E-?[Mm]ail|Mail|Tel(?:efon|éfono|efone|éphone)?|Phone|Mobile|Mobil|Tfno|Tél|Тел|Address|Adresse|Anschrift|Dirección|Indirizzo|Morada|Adres|Адрес|ID(?:-No)?|National ID|Passport no|DNI|Steuer-ID)\b[.:]* ?:?|[☎→✉<(]|\s)*")
 #: Capitalised words that head lines and notices but are no names.
@@ -118,15 +147,17 @@ def find(text: str | None) -> list[Detail]:
     if not text:
         return []
     out: list[Detail] = []
-    shapes = [("email", EMAIL)] if _AT.search(text) else []
-    for kind, pattern in [*shapes, *([("street_address", ADDRESS), ("id_number", ID_NUMBER), ("phone", PHONE)] if _DIGIT.search(text) else [])]:
+    shapes = [("email", EMAIL)] if any(x in text for x in _AT) else []
+    shapes += [("street_address", ADDRESS)] if _DIGIT.search(text) else []
+    shapes += [("id_number", ID_NUMBER), ("phone", PHONE)] if _NUMBER.search(text) else []
+    for kind, pattern in shapes:
         for m in pattern.finditer(text):
             a, b = m.span()
             if _clear(out, a, b):
                 out.append(Detail(a, b, kind, text[a:b]))
     starts = {d.start for d in out}
-    for pattern in (_BEFORE, *([_AFTER] if any(x in text for x in _AFTER_TAILS) else []), *([_HEAD] if starts else []), *([_PAREN] if "(" in text else [])):
-        for m in pattern.finditer(text):
+    for pattern in (None, *([_AFTER] if any(x in text for x in _AFTER_TAILS) else []), *([_HEAD] if starts else []), *([_PAREN] if "(" in text else [])):
+        for m in _triggered(text) if pattern is None else pattern.finditer(text):
             a, b = m.span("n")
             if not _clear(out, a, b) or _NOT_NAMES.search(m.group("n")):
                 continue

@@ -118,6 +118,30 @@ def test_tiers(spark):
     assert [r.bin for r in tiers.whole_bins(tiers.next_fit(objs(spark, [4, 6, 1, 12, 3]), 10), 11).orderBy("bin").collect()] == [0, 1]
 
 
+def test_next_fit_over_partitions(spark):
+    import random
+
+    rng = random.Random(8)
+    for n, target, sizes in [(0, 5, [1]), (300, 20, range(0, 9)), (200, 10, [0, 0, 1, 14, 25]), (150, 1000, [0, 3])]:
+        x = [rng.choice(list(sizes)) for _ in range(n)]
+        want, at, used = {}, 0, 0
+        for k, v in enumerate(x):
+            if used and used + v > target:
+                at, used = at + 1, 0
+            used += v
+            want[f"k{k:03}"] = at
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            assert {r.key: r.bin for r in tiers.next_fit(objs(spark, x), target).collect()} == want
+            got = {r.key for r in tiers.within_budget(objs(spark, x), 4 * target).collect()}
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        total = 0
+        for k, v in enumerate(x):
+            total += v
+            assert (f"k{k:03}" in got) == (total <= 4 * target)
+
+
 def test_file_times(spark):
     names = spark.createDataFrame([("hot/rss-2024-03-01T10-20-30-000Z.ndjson.gz",), ("hot/ct-1709288430000.ndjson.gz",), ("x/202403011020.mentions",), ("x/none",)], "k string")
     got = [str(r.t) if r.t else None for r in names.select(tiers.file_time(F.col("k")).alias("t")).collect()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,28 +54,80 @@ def prune_plan(objects: DataFrame, cap: int, target_share: float = 0.95, size: s
     return _running(objects, [F.col(c) for c in order], size).crossJoin(F.broadcast(need)).where("before < need").drop("before", "need")  # one row
 
 
+def _bin_starts(sizes: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For a stretch of sizes: prefix sums, and for a bin begun at each place the bins begun after it and the last one's
+    use at the end of the stretch.
+    """
+    m = len(sizes)
+    c = np.zeros(m + 1, dtype=np.int64)
+    np.cumsum(sizes, out=c[1:])
+    fits = np.searchsorted(c, c[:-1] + target, side="right") - 1  # the bin holds places up to here
+    some = np.searchsorted(c, c[:-1], side="right")  # one past the first size that is not zero: it is taken in any case
+    after = np.maximum(fits, np.minimum(some, m)).tolist()
+    begun, last = [0] * (m + 1), [0] * (m + 1)
+    ends = c.tolist()
+    for i in range(m - 1, -1, -1):
+        j = after[i]
+        if j < m:
+            begun[i], last[i] = begun[j] + 1, last[j]
+        else:
+            last[i] = ends[m] - ends[i]
+    return c, np.array(begun[:m], dtype=np.int64), np.array(last[:m], dtype=np.int64)
+
+
 def next_fit(objects: DataFrame, target: int, size: str = "size", order: tuple[str, ...] = ("ts", "key")) -> DataFrame:
-    """Adds ``bin``: objects in order go into the open bin; one that does not fit opens the next.
+    """``(key, size, bin)``: objects in order go into the open bin; one that does not fit opens the next.
 
-    The order is total, so the scan is sequential by nature; it runs as a stream over one sorted task that holds nothing
-    but the open bin's size (no rows are collected). Only the columns of the order and the size take part.
+    The scan is cut at range partitions. What a partition does depends on the open bin only up to the first bin begun in
+    it, which is one of the places that the first ``target`` bytes reach: for each of them it tells the bins begun and the
+    use of the last (one row a place, so at most the objects of one bin a partition come to the driver). These are chained
+    in order, and a second pass numbers the bins of all partitions at once. Null sizes count as zero.
     """
     kind = {f.name: f.dataType.simpleString() for f in objects.schema.fields}
-    src = objects.select("key", size, *[c for c in order if c not in ("key", size)]).repartitionByRange(1, *order).sortWithinPartitions(*order).select("key", size)
+    src = objects.select("key", F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)])
+    keys = [f"_o{k}" for k in range(len(order))]
+    parts = cut(src.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_p", F.spark_partition_id()).select("_p", "key", "size"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, used = 0, 0
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, number = [], 0
+        for b in batches:
+            if b.num_rows:
+                number = b.column(0)[0].as_py()
+                found.append(b.column(1).to_numpy())
+        if not found:
+            return
+        c, begun, last = _bin_starts(np.concatenate(found), target)
+        # one more, for an object larger than a bin that an empty bin takes in
+        reach = np.arange(min(len(begun), int(np.searchsorted(c, target, side="right")) + 1))
+        columns = [np.full(len(reach), number), reach, c[reach], c[reach + 1], begun[reach], last[reach], np.full(len(reach), c[-1])]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["p", "place", "before", "upto", "begun", "last", "total"])
+
+    told: dict[int, list] = {}
+    for r in parts.select("_p", "size").mapInArrow(tell, "p bigint, place bigint, before bigint, upto bigint, begun bigint, last bigint, total bigint").orderBy("p", "place").collect():
+        told.setdefault(r.p, []).append(r)
+    entry: dict[int, tuple[int, int]] = {}
+    number, used = 0, 0
+    for p in sorted(told):
+        entry[p] = (number, used)
+        first = next((r for r in told[p] if used + r.before > 0 and used + r.upto > target), None)
+        number, used = (number, used + told[p][0].total) if first is None else (number + 1 + first.begun, first.last)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
         for b in batches:
+            if not b.num_rows:
+                continue
+            at, full = state or entry[b.column(0)[0].as_py()]
             bins = []
-            for s in b.column(1).to_pylist():
-                s = s or 0
-                if used and used + s > target:
-                    number, used = number + 1, 0
-                used += s
-                bins.append(number)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bins, pa.int64())], names=["key", "size", "bin"])
-
-    return src.mapInArrow(run, f"key {kind['key']}, size {kind[size]}, bin bigint")
+            for s in b.column(2).to_pylist():
+                if full and full + s > target:
+                    at, full = at + 1, 0
+                full += s
+                bins.append(at)
+            state = at, full
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(bins, pa.int64())], names=["key", "size", "bin"])
+
+    return parts.mapInArrow(deal, f"key {kind['key']}, size bigint, bin bigint")
 
 
 def whole_bins(packed: DataFrame, budget: int) -> DataFrame:

@@ -25,6 +25,14 @@ def test_residue(spark):
     assert residue.classify(residue.fields_of(df.where("false"))).count() == 0
 
 
+def test_recurring_messages_outside_the_list(spark):
+    rows = [(1, "This domain mill-lane.example is parked.", "Your page title", "a"), (2, "Some text.\nThis domain hill.example.org is parked.", "Your page title", "b"), (3, "The mill was painted in spring.", "Notes", "a"), (4, "The mill was painted in spring.", "Notes", "b"), (5, "This site is suspended.", "Our page title", "a"), (6, "This site is suspended.", None, "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, title string, source string")
+    got = {(r.id, r.field): r.kind for r in residue.classify(residue.fields_of(df)).collect()}
+    assert got == {(i, f): "recurring" for i in (1, 2) for f in ("text", "title")}  # sound text recurs too; a suspended site stands in one source
+    assert {(r.message, r.fields, r.sources) for r in residue.messages(residue.fields_of(df)).collect()} == {("this domain @ is parked", 2, 2), ("your page title", 2, 2)}
+
+
 DETAILS = [
     ("Write to nora+list@mail.example.org today.", "email", "nora+list@mail.example.org"), ("owen at hart-post dot example dot net", "email", "owen at hart-post dot example dot net"), ("mei [at] post.example.com", "email", "mei [at] post.example.com"),
     ("Call +44 7700 900477 after six.", "phone", "+44 7700 900477"), ("Ring (555) 555-0120.", "phone", "(555) 555-0120"), ("Tel. 01.99.00.45.66", "phone", "01.99.00.45.66"), ("0039 06 0000 0502 only", "phone", "0039 06 0000 0502"),

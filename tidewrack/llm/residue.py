@@ -1,16 +1,18 @@
 """Problem 6: unfilled placeholders, filler, error pages and notices that scripts are needed, found in fields.
 
-Fields are cut into segments (lines and sentences). Numbers, addresses and dates are masked, segments hashed, and equal
-hashes counted over distinct sources. Rules then classify:
+Fields are cut into segments (lines and sentences). Numbers, addresses, host names and dates are masked, every segment is
+hashed, and equal hashes are counted over distinct sources. The hashes of at least ``SOURCES`` sources are then classified by
+the rules ``SHORT``, ``RECURRING`` and ``MESSAGES``: texts and sentence frames that tell something as they recur.
+
+In addition, rules that need no recurrence judge each segment by itself, so that a case of a single source is found too:
 
 * placeholder rules: a slot in the mark-up of some template language that holds an identifier and nothing else;
-* phrase rules: messages that are of one kind wherever they stand (``MESSAGES``);
-* phrase rules of short texts that only tell something when they recur (``SHORT``): they must be a whole segment and their
-  hash must come from at least ``SOURCES`` sources.
+* phrase rules: messages that are of one kind wherever they stand (``MESSAGES``).
 
-A segment that speaks about such things (``ABOUT``) is no case. Only segments that match a rule of the last kind are
-shuffled, as pairs of hash and source, which partial aggregation reduces before the shuffle; the counts go back to the
-segments by a join on hash and salt, so that a message that fills a third of all rows is spread over ``SALT`` tasks.
+A segment that speaks about such things (``ABOUT``) is no case. A rule reads the masked text, which is a key of the counts:
+the optimiser moves it below them, so that hashes no rule could classify are not shuffled, with the same result. The rest
+are reduced to one row a task, hash and source before the shuffle; the classified hashes go back to the segments by a join
+on hash and salt, so that a message that fills a third of all rows is spread over ``SALT`` tasks.
 Everything runs in the JVM; no Python worker is needed.
 
 Defined results: null and empty fields give no row; repeated rows count as one source; a null source is a source of its
@@ -69,10 +71,24 @@ _SIGNS = r"[\[{<%@#$_]|XXX|T(?:ODO|BD)"
 #: Whole segments, masked and in lower case, that are residue if they recur over sources.
 SHORT = r"^(?:just a moment|loading|(?:loading\W+)?please wait|coming soon|under construction|undefined|null|nan|none|nginx|test page|forbidden|access denied|contact the administrator|please try again later|please log in again to continue|replace it|page not found|attention required|hello world|welcome to nginx|index of /|not found|not acceptable|bad request|too many requests|it works|default page|your site title here|home page title|sample page|example page|insert title here)\W*\d*\W*$"
 
-ABOUT = r"(?iu)\b(?:templates? (?:engine|language)|markers?|variables?|syntax|notation|shell scripts?|curly|literal(?:ly)?|(?<!<)placeholders?|printers|typesetters|filler for|words lorem|talk explained|article about|vorlagen?|platzhalter|modèle de page|marqueur|plantillas?|segnaposto|sjabloon|шаблон\w*|переменн\w+)\b"
+_THING = r"(?:domain|site|web ?site|web ?page|page|account|blog|server|url|link|resource|file|document|app|application|service|shop|store)"
+#: Frames of whole segments, masked and in lower case, that are residue if they recur over sources.
+RECURRING = "|".join(
+    (
+        r"^(?:your|insert|add|enter|type|default|sample|example|untitled|dummy)(?: \w+){0,3} (?:title|subtitle|headline|heading|subheading|tagline|slogan|caption|teaser|summary|description|text|name|content|copy)(?: (?:goes )?here)?$",
+        rf"^(?:this|the|your) {_THING}(?: name)?(?: @)? (?:is|has been|was|has|may be|may have been|could not be|cannot be|can't be|does not|doesn't|isn't)\b.{{0,40}}\b(?:parked|for sale|suspended|disabled|expired|unavailable|available|found|moved permanently|deleted|blocked|offline|exist|displayed|loaded|reached|maintenance|construction|registered|configured)\b",
+        rf"^(?:@|{_THING}(?: name)?)(?: @)? (?:is )?(?:parked|for sale|suspended|expired|unavailable|not available|disabled|offline)\b.{{0,30}}$", r"^(?:buy|register|renew) this domain\b", r"^(?:parked|expired) domain\b",
+        r"^diese (?:domain|seite|website|webseite)(?: @)? (?:ist|wurde|steht)\b.{0,40}\b(?:geparkt|verkaufen|verkauf|verfügbar|erreichbar|gesperrt|wartung)", r"^ce (?:domaine|site)(?: @)? (?:est|n'est|a été)\b.{0,40}\b(?:parqué|vendre|disponible|suspendu|maintenance)",
+        r"^este (?:dominio|sitio|domínio|site)(?: @)? (?:está|no está|não está|ha sido|foi)\b.{0,40}\b(?:aparcado|estacionado|venta|venda|disponible|disponível|suspendido|suspenso|mantenimiento|manutenção)", r"^questo (?:dominio|sito)(?: @)? (?:è|non è)\b.{0,40}\b(?:parcheggiato|vendita|disponibile|sospeso|manutenzione)",
+        r"^dit domein(?: @)? is\b.{0,40}\b(?:geparkeerd|koop|beschikbaar)", r"^этот (?:домен|сайт)(?: @)? .{0,40}(?:припаркован|продаётся|продается|недоступен|приостановлен)",
+        r"^(?:please )?(?:refresh|reload) (?:the|this|your) (?:page|browser)\b", r"^(?:please )?(?:try again|check back|come back) (?:later|soon)$", r"^(?:please )?(?:log|sign) ?in (?:again )?to (?:continue|view|access|see)\b", r"^(?:please )?(?:enable|allow) cookies\b", r"^cookies (?:are|must be) (?:disabled|enabled|required|turned off|blocked)\b",
+        r"^your (?:browser|connection|ip|ip address|request|session)\b.{0,40}\b(?:not supported|unsupported|outdated|out of date|blocked|denied|rejected|timed out|expired|not private|processed|completed)\b", r"\berror (?:has |was )?(?:occurred|encountered)\b", r"^(?:oops\W+)?something went wrong$", r"^(?:connection|request) (?:timed out|refused|failed|was reset)\b",
+        r"^no input file specified$", r"^cannot (?:get|post) /",
+    )
+)
 
+ABOUT = r"(?iu)\b(?:templates? (?:engine|language)|markers?|variables?|syntax|notation|shell scripts?|curly|literal(?:ly)?|(?<!<)placeholders?|printers|typesetters|filler for|words lorem|talk explained|article about|vorlagen?|platzhalter|modèle de page|marqueur|plantillas?|segnaposto|sjabloon|шаблон\w*|переменн\w+)\b"
 
-_SHORT_START = r"(?i)" + SHORT[: SHORT.index(r")\W*\d*\W*$")] + ")"
 
 
 def _segments(c: Column) -> Column:
@@ -80,9 +96,9 @@ def _segments(c: Column) -> Column:
 
 
 def mask(c: Column) -> Column:
-    """Lower case with addresses, dates and numbers masked and blanks and end signs folded: the normal form that is hashed."""
+    """Lower case with addresses, host names, dates and numbers masked and blanks and end signs folded: the normal form that is hashed."""
     c = F.lower(c)
-    c = F.regexp_replace(c, r"(?:https?://|www\.)\S+|\S+@\S+", "@")
+    c = F.regexp_replace(c, r"(?:https?://|www\.)\S+|\S+@\S+|(?<![\w.-])(?:[\w-]+\.)+[\p{L}]{2,}(?![\w-])", "@")
     c = F.regexp_replace(c, r"\b\d{1,4}[./-]\d{1,2}[./-]\d{1,4}\b", "0")
     c = F.regexp_replace(c, r"\d+", "0")
     return F.trim(F.regexp_replace(c, r"[\s.!?…:]+", " "))
@@ -94,6 +110,21 @@ def fields_of(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).cast("string").alias("source"), cells.alias("x")).select("id", "source", "x.field", "x.value").where("value is not null and trim(value) <> ''")
 
 
+def segments(fields: DataFrame) -> DataFrame:
+    """``(id, source, field, message, hash)`` of all segments: the masked text and its hash."""
+    # masked within the array, so that the optimiser cannot copy the masking into every later condition
+    each = fields.select("id", F.coalesce("source", F.lit("")).alias("source"), "field", F.explode(F.transform(_segments(F.col("value")), mask)).alias("message"))
+    return each.where("message <> ''").withColumn("hash", F.xxhash64("message"))
+
+
+def recurring(segs: DataFrame, sources: int = SOURCES) -> DataFrame:
+    """``(hash, message, fields, sources)``: every masked segment of enough sources that a rule classifies as residue."""
+    per = segs.groupBy("hash", "message", "source").agg(F.count("*").alias("n"))
+    counted = per.groupBy("hash", "message").agg(F.sum("n").alias("fields"), F.count("*").alias("sources")).where(F.col("sources") >= sources)
+    m = F.col("message")
+    return counted.where((m.rlike(SHORT) | m.rlike(RECURRING) | m.rlike(MESSAGES)) & ~m.rlike(ABOUT))
+
+
 def classify(fields: DataFrame, sources: int = SOURCES) -> DataFrame:
     """``(id, field, kind)``: placeholder, message or recurring, for every field with residue; the first kind that holds."""
     def hinted(seg: Column) -> Column:
@@ -102,26 +133,20 @@ def classify(fields: DataFrame, sources: int = SOURCES) -> DataFrame:
 
     seg = fields.withColumn("s", _segments(F.col("value")))
     kinds = seg.select(
-        "id", "source", "field",
+        "id", "field",
         F.exists("s", lambda s: s.rlike(_SIGNS) & s.rlike(PLACEHOLDER) & ~s.rlike(ABOUT)).alias("placeholder"),
         F.exists("s", lambda s: hinted(s) & s.rlike(MESSAGES) & ~s.rlike(ABOUT)).alias("message"),
-        F.array_distinct(F.transform(F.filter("s", lambda s: (F.length(s) < 80) & s.rlike(_SHORT_START) & mask(s).rlike(SHORT)), lambda s: F.xxhash64(mask(s)))).alias("short"),
     )
-    # the few fields that any rule matched are written once, as three steps read them
-    kinds = cut(kinds.where("placeholder or message or size(short) > 0"))
-    sure = kinds.where("placeholder or message").select("id", "field", F.when(F.col("placeholder"), "placeholder").otherwise("message").alias("kind"))
-    short = kinds.where("not placeholder and not message and size(short) > 0").select("id", "field", F.explode("short").alias("hash"))
+    sure = cut(kinds.where("placeholder or message").select("id", "field", F.when(F.col("placeholder"), "placeholder").otherwise("message").alias("kind")))
+    segs = segments(fields)
     # a message counts by the sources it stands in, whatever else the fields hold
-    per = kinds.where("size(short) > 0").select(F.explode("short").alias("hash"), F.coalesce("source", F.lit("")).alias("source")).distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= sources)
-    spread = per.select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    salted = short.withColumn("salt", F.pmod(F.xxhash64("id", "field"), F.lit(SALT)).cast("int"))
-    recurring = salted.join(spread, ["hash", "salt"], "left_semi").select("id", "field", F.lit("recurring").alias("kind")).distinct()
-    return sure.unionByName(recurring)
+    hashes = cut(recurring(segs, sources).select("hash"))
+    spread = hashes.select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    salted = segs.select("id", "field", "hash", F.pmod(F.xxhash64("id", "field"), F.lit(SALT)).cast("int").alias("salt"))
+    found = salted.join(spread, ["hash", "salt"], "left_semi").select("id", "field").distinct()
+    return sure.unionByName(found.join(sure, ["id", "field"], "left_anti").select("id", "field", F.lit("recurring").alias("kind")))
 
 
 def messages(fields: DataFrame, sources: int = SOURCES) -> DataFrame:
     """Widely recurring masked segments that a rule matches, with their counts: ``(message, fields, sources)``."""
-    each = fields.select("source", F.explode(_segments(F.col("value"))).alias("s")).where(F.length("s") < 200)
-    hit = each.where((F.col("s").rlike(MESSAGES) | mask(F.col("s")).rlike(SHORT)) & ~F.col("s").rlike(ABOUT)).select(mask(F.col("s")).alias("message"), F.coalesce("source", F.lit("")).alias("source"))
-    per = hit.groupBy("message", "source").agg(F.count("*").alias("n"))
-    return per.groupBy("message").agg(F.sum("n").alias("fields"), F.count("*").alias("sources")).where(F.col("sources") >= sources)
+    return recurring(segments(fields), sources).select("message", "fields", "sources")

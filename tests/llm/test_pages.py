@@ -112,6 +112,18 @@ def test_spam(spark, common):
     assert spam.flag(none, spam.references(spam.ratio_bins(none))).count() == 0
 
 
+def test_spam_that_holds_a_third_of_all_rows(spark, common):
+    things = ["mill", "barn", "station", "orchard", "library", "bakery", "harbour", "garden", "tower", "bridge"]
+    said = ["was built by the river long ago", "is open to all guests in summer", "needs a new roof before winter", "stands behind the old school", "lost two windows in the storm", "belongs to a family of bakers"]
+    good = [(i, " ".join(f"The {things[(i + 3 * k) % 10]} {said[(i // 10 + k) % 6]}." for k in range(6)), []) for i in range(60)]
+    stuffed = "cheap paint | best paint | paint online | buy paint | paint near me | paint shop | paint sale | cheap paint online | best paint shop | paint | buy cheap paint | paint offers"
+    for third in ([stuffed] * 60, [f"{stuffed} {k}" for k in range(60)]):  # the same page, and one that varies in numbers
+        df = spark.createDataFrame(good + [(100 + k, t, []) for k, t in enumerate(third)] + [(500, stuffed.replace("paint", "glass"), [])], "crawl_id bigint, text string, links array<string>")
+        pages = spam.measured(df, "crawl_id", "text", "links", common)
+        got = {r.id for r in spam.flag(pages, spam.references(spam.ratio_bins(pages))).where("spam").collect()}
+        assert got == {*range(100, 160), 500}
+
+
 def test_languages(spark, samples, common, chain):
     m = langid.train(samples[::2])
     held = [s for s in samples[1::2]]

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Blocks, CommonWords, doubled
@@ -97,6 +97,16 @@ class Sketch:
         return mid, 1.4826 * float(off[order][min(len(b) - 1, int(np.searchsorted(c, 0.5 * c[-1], side="left")))])
 
 
+def text_key(c: Column) -> Column:
+    """Hash of a text with addresses and numbers masked and blanks folded; copies of a template that vary in these share it."""
+    return F.xxhash64(F.regexp_replace(F.regexp_replace(F.lower(c.cast("string")), r"(?:https?://|www\.)\S+", "@"), r"[\d\s]+", " "))
+
+
+def weight(n: Column) -> Column:
+    """Of a text with n copies: 1 for each doubling, so that copies hardly tell in a sketch."""
+    return F.lit(1) + F.floor(F.log2(n)).cast("bigint")
+
+
 def _languages(b: Blocks, common: CommonWords) -> np.ndarray:
     """The language with the most common words in each page, or '' for none."""
     low = doubled(b.text)

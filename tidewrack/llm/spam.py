@@ -3,13 +3,15 @@
 A page's text (addresses without scheme and host, hashtags and compound slugs taken apart, lower case) is deflated in
 blocks of ``BLOCK`` bytes. The ratio of compressed to plain size falls with length and differs between languages, so
 each page is compared with the median and median absolute deviation of pages of its language and length class, taken
-from mergeable sketches over the whole corpus. Extreme redundancy is then confirmed by a low density of sentence
+from mergeable sketches over the whole corpus. The sketches are of distinct texts (numbers and addresses masked, so that
+copies of a template that vary in them are one text): a text of n copies weighs 1 + floor(log2(n)), and a class is joined by
+the classes next to it in length, so that no text or template can be its own reference by its copies. Extreme redundancy is then confirmed by a low density of sentence
 punctuation or, where the text has sentences, by a word that most of them repeat. Tables, parts lists and code are
 redundant as well: their shares of number tokens and signs tell them apart. Pages of which most is addresses are
 confirmed by that.
 
-One pass measures, one shuffles sketch bins (languages x length classes x bins at most), one joins them as a bounded
-lookup. Nothing grows with hosts or groups of copies.
+One pass measures, one shuffles a row per distinct text and task and then sketch bins (languages x length classes x bins at
+most), one joins them as a bounded lookup. Nothing grows with hosts or groups of copies.
 
 Defined results: null and empty texts are measured as nothing and never flagged; null ``links`` and titles count as
 none; repeated rows are kept; an empty table gives an empty table.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .blocks import _GARBLED, Blocks, CommonWords
 from .mojibake import plain_utf8
-from .quality import ALL, Sketch, _languages
+from .quality import ALL, Sketch, _languages, text_key, weight
 
 BLOCK = 600
 LEAST = 50  # pages of a language and length class that it is judged by itself
@@ -101,7 +103,7 @@ MEASURED = ("ratio", "size", "ends", "numbers", "address", "letters", "keyword",
 
 
 def measured(df: DataFrame, id_col: str, text_col: str, links_col: str | None, common: CommonWords) -> DataFrame:
-    """One row per page with a text: id, language, length class, figures, number of links."""
+    """One row per page with a text: id, key of like texts, language, length class, figures, number of links."""
     shared = df.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,36 +115,39 @@ def measured(df: DataFrame, id_col: str, text_col: str, links_col: str | None, c
                 m = measure(s.column(1).to_pylist(), frequent)
                 lang = _languages(Blocks(s.column(1), html=False), words)
                 cls = np.floor(np.log2(np.maximum(m["size"], 1)) * 2).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([s.column(0), s.column(2), pa.array(lang, pa.string()), pa.array(cls), *(pa.array(m[k]) for k in MEASURED)], names=["id", "n_links", "lang", "cls", *MEASURED])
+                yield pa.RecordBatch.from_arrays([s.column(0), s.column(2), s.column(3), pa.array(lang, pa.string()), pa.array(cls), *(pa.array(m[k]) for k in MEASURED)], names=["id", "n_links", "key", "lang", "cls", *MEASURED])
 
     links = F.coalesce(F.size(F.col(links_col)), F.lit(0)) if links_col else F.lit(0)
-    src = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), F.greatest(links, F.lit(0)).alias("n_links")).where("text is not null and trim(text) <> ''")
-    return src.mapInArrow(run, "id bigint, n_links int, lang string, cls int, " + ", ".join(f"{k} double" for k in MEASURED))
+    src = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), F.greatest(links, F.lit(0)).alias("n_links"), text_key(F.col(text_col)).alias("key")).where("text is not null and trim(text) <> ''")
+    return src.mapInArrow(run, "id bigint, n_links int, key bigint, lang string, cls int, " + ", ".join(f"{k} double" for k in MEASURED))
 
 
 def ratio_bins(pages: DataFrame) -> DataFrame:
-    """``(lang, cls, bin, n)`` of compression ratios; a page counts for its language and for all. Bounded by the classes."""
-    bins = pages.select(F.explode(F.array("lang", F.lit(ALL))).alias("lang"), "cls", F.least(F.lit(1000), F.round(F.col("ratio") * 1000)).cast("int").alias("bin"))
-    return bins.groupBy("lang", "cls", "bin").agg(F.count("*").alias("n"))
+    """``(lang, cls, bin, n)`` of compression ratios, weights of distinct texts; one counts for its language and for all."""
+    bin_ = F.least(F.lit(1000), F.round(F.col("ratio") * 1000)).cast("int").alias("bin")
+    texts = pages.groupBy("key").agg(F.min(F.struct("lang", "cls", bin_)).alias("r"), weight(F.count("*")).alias("w"))
+    bins = texts.select(F.explode(F.array("r.lang", F.lit(ALL))).alias("lang"), "r.cls", "r.bin", "w")
+    return bins.groupBy("lang", "cls", "bin").agg(F.sum("w").alias("n"))
 
 
 def references(bins: DataFrame) -> list[tuple[str, int, float, float]]:
-    """Median and spread of each language and length class with enough pages; of all languages for every class, where a
-    class of few pages is joined by the classes next to it in length.
+    """Median and spread of each language and length class, the classes next to it in length joined, with enough pages; of all
+    languages for every class, where a class of few pages is joined by more classes.
     """
     sk: dict[tuple[str, int], Sketch] = {}
     for r in bins.toArrow().to_pylist():
         sk.setdefault((r["lang"], r["cls"]), Sketch("common_share")).counts[r["bin"]] = r["n"]
-    out = [(lang, cls, *s.spread()) for (lang, cls), s in sorted(sk.items()) if lang not in (ALL, "") and s.n >= LEAST]
-    whole = {cls: s for (lang, cls), s in sk.items() if lang == ALL}
-    for cls in sorted(whole):
-        near, reach = whole[cls], 0
-        while near.n < LEAST and reach <= max(whole) - min(whole):
+    out = []
+    classes = [cls for _, cls in sk]
+    for lang, cls in sorted(sk):
+        near, reach = sk[lang, cls], 0
+        while reach < 1 or (near.n < LEAST and lang == ALL and reach <= max(classes) - min(classes)):
             reach += 1
             for other in (cls - reach, cls + reach):
-                if other in whole:
-                    near = near.merge(whole[other])
-        out.append((ALL, cls, *near.spread()))
+                if (lang, other) in sk:
+                    near = near.merge(sk[lang, other])
+        if lang == ALL or (lang and near.n >= LEAST):
+            out.append((lang, cls, *near.spread()))
     return out
 
 
@@ -160,4 +165,4 @@ def flag(pages: DataFrame, refs: list[tuple[str, int, float, float]]) -> DataFra
     stuffed = redundant & prose_like & (F.col("keyword") >= KEYWORD_SHARE) & (F.col("in_sentences") >= 0.6) & (F.col("times") >= 4) & (F.col("sentences") >= 2)
     addresses = F.col("address") >= ADDRESS_SHARE
     why = F.when(addresses, "addresses").when(listed, "no sentences").when(stuffed, "keyword sentences")
-    return joined.withColumn("z", z).withColumn("why", why).withColumn("spam", F.col("why").isNotNull()).drop("mid", "spread", "mid_all", "spread_all")
+    return joined.withColumn("z", z).withColumn("why", why).withColumn("spam", F.col("why").isNotNull()).drop("key", "mid", "spread", "mid_all", "spread_all")

@@ -97,6 +97,22 @@ def test_prose_and_rows(spark, common, chain):
     assert quality.flag(empty, quality.collect_sketches(quality.sketches(empty))).count() == 0
 
 
+def test_rows_that_are_the_majority_of_a_language(spark, common, chain):
+    prose = [f"The mill by the river was built in {1800 + i}. It still grinds corn for the village, and it is open in summer. The {w} is old." for i in range(60) for w in ("house", "barn", "road")]
+    table = "\n".join(f"Ankunft und Abfahrt der Züge 0{k}:15 1{k}:20 1{k}:45" for k in range(8))
+    other = "\n".join(f"Preis für die Karte mit der Bahn {k}0,50 {k}1,20" for k in range(8))
+    german = "Die Mühle am Fluss wurde 1820 gebaut. Sie mahlt noch immer das Korn für das Dorf, und im Sommer ist sie offen."
+    rows = [(i, t) for i, t in enumerate(prose)] + [(1000 + i, f"{german} {'Das Haus ist alt. ' * i}") for i in range(20)]
+    df = spark.createDataFrame(rows + [(2000 + i, table) for i in range(100)] + [(3000, other)], "rec_id bigint, c string")
+    stats = quality.statistics(df, "raw_docs", "rec_id", "c", None, chain, common).cache()
+    assert stats.where("id >= 2000 and lang = 'de'").count() == 101
+    names = ("sentence_share",)
+    assert {r.n for r in quality.sketches(quality.distinct_texts(stats.where("id between 2000 and 2999"), names), names).where("lang = 'de'").collect()} == {7}
+    for seen in (quality.distinct_texts(stats, names), stats):  # even without bounded copies, all languages are the better reference
+        got = {r.id for r in quality.flag(stats, quality.collect_sketches(quality.sketches(seen, names))).where("non_prose").collect()}
+        assert got == {*range(2000, 2100), 3000}
+
+
 def test_spam(spark, common):
     prose = ["The mill by the river was built in 1820. It grinds corn, and the bakery beside it sells rye bread on most days.", "A night train leaves the old station at ten. Few people take it, for the road is quicker now and costs less.", "My aunt keeps bees behind the barn. She gave us three jars of honey when we left the farm in autumn."]
     good = [(i, " ".join(prose[k % 3] for k in range(i % 3, i % 3 + 3)), []) for i in range(120)]

@@ -7,10 +7,12 @@
    sketches exactly; a quantile is off by at most one bin (1 % for logarithmic bins). A sketch has at most ``BINS`` bins,
    a task at most languages x statistics of them, and only summed bins reach the driver.
 3. Each value becomes a percentile and a robust z-score (median and median absolute deviation from the sketch).
-4. A document is no prose if its sentence share lies in the lower tail of its language (or that of all languages, for text
-   of none) and, checked exactly, more than half of its content is rows, code or junk and not sentences.
+4. A document is no prose if its sentence share lies in the lower tail of its language or of all languages, whichever has
+   the more prose-like median (of all, for text of none), both sketched over distinct texts (:func:`distinct_texts`), so that
+   neither copies nor a majority of junk in a language can make junk the rule, and, checked exactly, more than half of its content is rows, code or junk and not sentences.
 
-Defined results: null and empty texts have null statistics and are never flagged; repeated rows count once each; a
+Defined results: null and empty texts have null statistics and are never flagged; repeated rows count once each in the
+quantiles and percentiles; a
 language with fewer than ``LEAST`` documents is judged by the sketch of all; an empty table gives empty results.
 """
 
@@ -165,11 +167,11 @@ def measure(pages: pa.Array, titles: pa.Array | None, chain: Chain, common: Comm
     }
 
 
-_FIELDS = "id bigint, lang string, content double, " + ", ".join(f"{s} double" for s in STATS)
+_FIELDS = "id bigint, key bigint, lang string, content double, " + ", ".join(f"{s} double" for s in STATS)
 
 
 def statistics(df: DataFrame, tbl: str, id_col: str, text_col: str, title_col: str | None, chain: Chain, common: CommonWords) -> DataFrame:
-    """One row per document with a text: ``tbl, id, lang, content`` and all statistics."""
+    """One row per document with a text: ``tbl, id, key, lang, content`` and all statistics."""
     shared = df.sparkSession.sparkContext.broadcast((chain, common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,24 +180,30 @@ def statistics(df: DataFrame, tbl: str, id_col: str, text_col: str, title_col: s
             for lo in range(0, whole.num_rows, _SLAB):
                 s = whole.slice(lo, _SLAB)
                 m = measure(s.column(1), s.column(2), model, words)
-                yield pa.RecordBatch.from_arrays([s.column(0), pa.array(m["lang"], pa.string()), pa.array(m["content"]), *(pa.array(m[k].astype(np.float64)) for k in STATS)], names=["id", "lang", "content", *STATS])
+                yield pa.RecordBatch.from_arrays([s.column(0), s.column(3), pa.array(m["lang"], pa.string()), pa.array(m["content"]), *(pa.array(m[k].astype(np.float64)) for k in STATS)], names=["id", "key", "lang", "content", *STATS])
 
-    src = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(title_col) if title_col else F.lit(None)).cast("string").alias("title")).where("text is not null and text <> ''")
+    src = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(title_col) if title_col else F.lit(None)).cast("string").alias("title"), text_key(F.col(text_col)).alias("key")).where("text is not null and text <> ''")
     return src.mapInArrow(run, _FIELDS).select(F.lit(tbl).alias("tbl"), "*")
 
 
+def distinct_texts(stats: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``(w, lang, *names)``: one row per distinct text (:func:`text_key`), which weighs by the doublings of its copies."""
+    return stats.groupBy("key").agg(F.min(F.struct("lang", *names)).alias("r"), weight(F.count("*")).alias("w")).select("w", "r.*")
+
+
 def sketches(stats: DataFrame, names: tuple[str, ...] = STATS) -> DataFrame:
-    """``(lang, stat, bin, n)``: tasks add up their own bins before the shuffle."""
-    fields = ["lang", *names]
+    """``(lang, stat, bin, n)``: tasks add up their own bins before the shuffle. Rows count by ``w`` where there is one."""
+    fields = [F.col("lang"), *map(F.col, names), (F.col("w") if "w" in stats.columns else F.lit(1)).cast("bigint").alias("w")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, str], np.ndarray] = {}
         for b in batches:
-            langs = b.column(0).to_numpy(zero_copy_only=False)
+            langs, w = b.column(0).to_numpy(zero_copy_only=False), b.column(len(names) + 1).to_numpy(zero_copy_only=False)
             for k, name in enumerate(names):
                 at = to_bin(name, b.column(k + 1).to_numpy(zero_copy_only=False))
                 for lang in {*langs.tolist(), ALL}:
-                    c = np.bincount(at if lang == ALL else at[langs == lang], minlength=BINS)
+                    own = slice(None) if lang == ALL else langs == lang
+                    c = np.bincount(at[own], w[own], minlength=BINS).astype(np.int64)
                     total[lang, name] = total[lang, name] + c if (lang, name) in total else c
         rows = [(lang, name, int(i), int(c[i])) for (lang, name), c in total.items() for i in np.flatnonzero(c)]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
@@ -221,6 +229,7 @@ def flag(stats: DataFrame, sk: dict[tuple[str, str], Sketch]) -> DataFrame:
     """Statistics with percentile and robust z-score of the sentence share, and ``non_prose``."""
     langs = sorted({lang for lang, _ in sk})
     mids: dict[str, tuple[float, float]] = {lang: _reference(sk, "" if lang == ALL else lang, "sentence_share").spread() for lang in {*langs, ALL}}
+    mids = {lang: own if own[0] >= mids[ALL][0] else mids[ALL] for lang, own in mids.items()}  # a language of mostly junk is judged by all
     table = [(lang, mid, max(spread, LEAST_SPREAD)) for lang, (mid, spread) in mids.items()]
     spark = stats.sparkSession
     ref = spark.createDataFrame(table, "lang string, mid double, spread double") if table else spark.createDataFrame([], "lang string, mid double, spread double")

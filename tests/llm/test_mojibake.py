@@ -69,3 +69,19 @@ def test_operator_on_dirty_tables(spark):
     f = M.fields_of([("documents", docs, "doc_id", ["text", "title"])])
     assert {(r.id, r.field) for r in M.repair(f).collect()} == {(1, "text"), (3, "title")}
     assert M.repair(M.fields_of([("documents", docs.where("false"), "doc_id", ["text"])])).count() == 0
+
+
+def test_copies_do_not_make_garbling_common(spark):
+    garbled = "Où va la rivière ?".encode().decode("cp1252", "replace")
+    sound = [(f"{t} {i}",) for i in range(10) for t in dict.fromkeys(SOUND)]
+    df = spark.createDataFrame(sound + [(garbled,)] * 55, "value string")
+    pair = int(M._FOLD[ord("Ã")]) * M.SYMBOLS + int(M._FOLD[ord("¨")])
+    assert {r.pair: r.n for r in M.pair_counts(df).collect()}[pair] == 3  # a third of the rows; twice the mean copies, rounded up
+
+
+def test_a_mapping_taken_once_is_tested_in_the_whole_field():
+    text = "Die schöne Brücke über die Straße führt nach Köln. Où va la rivière ?"
+    seen = text.encode().decode("cp1252")
+    m = model()
+    at = seen.index("BrÃ¼cke")
+    assert M.restore(seen, m, [(at + 2, at + 4)])[:2] == (text, 1 + sum(c > "\x7f" for c in text) - 1)

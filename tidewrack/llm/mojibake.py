@@ -1,6 +1,7 @@
 """Problem 1: find and undo text that was decoded in a wrong character encoding.
 
-1. Counts of adjacent character pairs over all fields of the corpus. Characters are folded to a fixed alphabet of
+1. Counts of adjacent character pairs over all distinct field values of the corpus. A value counts by its copies up to
+   ``COPIES`` times the mean copies of a value, so that garbled text that recurs does not make its pairs common. Characters are folded to a fixed alphabet of
    ``SYMBOLS`` symbols (Latin, Greek, Cyrillic, punctuation and box drawing one by one, all others by page of 256 code
    points), so the table has at most ``SYMBOLS**2`` cells whatever the corpus. Tasks add up dense counts and emit
    non-zero cells once; only those are shuffled.
@@ -9,7 +10,8 @@
 3. Inverse mappings are tested only inside those runs: byte sequences that are valid UTF-8 under a wrong one-byte
    decoding (also with HTML entities, also twice over), and whole runs of one one-byte encoding read as another. The
    candidate with the highest log probability of its pairs is taken if it beats the run by ``GAIN`` as a whole and, in
-   changes that keep the length, by ``GAIN_PAIR`` per pair.
+   changes that keep the length, by ``GAIN_PAIR`` per pair. An inverse mapping of UTF-8 that was taken once in a field is then
+   tested at all valid sequences of the field, whether their pairs are improbable or not.
 4. U+FFFD and sequences cut off by lost bytes are reported, but cannot be restored; what else can be, is.
 
 Defined results: null and empty fields give no row; sound text of any script gives none; repeated rows give one row
@@ -37,6 +39,7 @@ RARER = 1.0  # nats per pair that undone UTF-8 sequences may be less probable by
 GAIN_PAIR = 0.8  # nats per pair, where a whole run changes its one-byte encoding
 ROUNDS = 3
 MEMO = 300_000
+COPIES = 2  # times the mean copies of a value that a value can count
 _CHUNK = 1_000_000  # characters scored at a time
 
 _SINGLE = 0x530  # Latin, Greek, Cyrillic and their marks
@@ -87,19 +90,26 @@ def _slabs(texts: list[str | None], size: int = _CHUNK) -> Iterator[list[tuple[i
 
 
 def pair_counts(fields: DataFrame) -> DataFrame:
-    """``(pair, n)`` over the column ``value`` of all rows; pair = first symbol * SYMBOLS + second."""
+    """``(pair, n)`` over the distinct values of the column ``value``, which weigh by bounded copies; pair = first symbol * SYMBOLS + second."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
         for b in batches:
+            copies = b.column(1).to_numpy(zero_copy_only=False)
             for slab in _slabs(b.column(0).to_pylist()):
                 _, s = fold("\x00".join(t for _, t in slab))
-                codes, n = np.unique(s[:-1].astype(np.int64) * SYMBOLS + s[1:], return_counts=True)
-                total[codes] += n
+                n = np.repeat(copies[[k for k, _ in slab]], [len(t) + 1 for _, t in slab])[: len(s) - 1]
+                codes, at = np.unique(s[:-1].astype(np.int64) * SYMBOLS + s[1:], return_inverse=True)
+                total[codes] += np.bincount(at, n, len(codes)).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["pair", "n"])
 
-    return fields.select("value").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    hashed = fields.select("value", F.xxhash64("value").alias("hash"))
+    size = hashed.agg(F.count("value").alias("rows"), F.countDistinct("hash").alias("texts")).first()
+    most = -(-COPIES * size.rows // max(1, size.texts))
+    # tasks add up their own copies before the shuffle
+    texts = hashed.groupBy("hash").agg(F.first("value").alias("value"), F.least(F.count("*"), F.lit(most)).alias("copies"))
+    return texts.select("value", "copies").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 class PairModel:
@@ -320,6 +330,21 @@ def inverse(run: str, left: str, right: str, model: PairModel) -> str:
     return max(taken, default=(0.0, run))[1]
 
 
+def _codecs(run: str, best: str, model: PairModel) -> set[str]:
+    """The encodings whose inverse mapping, up to ``ROUNDS`` times over, makes ``best`` of a run."""
+    out = set()
+    plain = _ENTITY_RUN.sub(lambda m: html.unescape(m.group()) if "&" in m.group() else m.group(), run) if "&" in run else run
+    for codec in WRONG:
+        for t in {run, plain}:
+            for _ in range(ROUNDS):
+                t, was = _unutf8(t, codec, model), t
+                if t == best:
+                    out.add(codec)
+                if t in (best, was):
+                    break
+    return out
+
+
 def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = None) -> tuple[str, int, int]:
     """The text with its garbled runs undone, the number of runs undone and of places that stay lost."""
     if runs is None:
@@ -330,6 +355,7 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
         runs = sorted(runs + [e for e in entities if any(a < e[1] and b > e[0] for a, b in runs)])
     out: list[str] = []
     at = undone = 0
+    taken: set[str] = set()
     for a, b in runs:
         while a > at and text[a - 1] > "\x7f":
             a -= 1
@@ -350,10 +376,17 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
                 model.known[key] = best
         if best != run:
             undone += 1
+            taken |= _codecs(run, best, model)
             out += [text[at:a], best]
             at = b
     out.append(text[at:])
     whole = "".join(out)
+    for codec in WRONG:
+        if codec in taken:
+            left = len(_PATTERNS[codec].findall(whole))
+            if left and (t := _unutf8(whole, codec, model)) != whole:
+                undone += max(1, left - len(_PATTERNS[codec].findall(t)))
+                whole = t
     return whole, undone, whole.count("\ufffd") + len(_CUT_OFF.findall(whole))
 
 

@@ -73,6 +73,14 @@ def html_lines(page: str) -> tuple[str, list[tuple[str, ...]]]:
 _LOOKS_HTML = re.compile(r"<(?:html|body|div|nav|p|ul|table|header|main|article)\b[^>]*>", re.I)
 
 
+_GARBLED_RE = re.compile(_GARBLED)
+
+
+def readable(text: str) -> str:
+    """The text with any misread UTF-8 sequences decoded, for judging what it says."""
+    return plain_utf8(text) if _GARBLED_RE.search(text) else text
+
+
 def _counts(lists: pa.ListArray) -> np.ndarray:
     return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -90,7 +98,7 @@ class Blocks:
 
     def __init__(self, pages: pa.Array, titles: pa.Array | None = None, html: bool = True):
         pages = pc.fill_null(pages.cast(pa.string()), "")
-        garbled = np.flatnonzero(pc.greater_equal(pc.count_substring_regex(pages, _GARBLED), 3).to_numpy(zero_copy_only=False))
+        garbled = np.flatnonzero(pc.match_substring_regex(pages, _GARBLED).to_numpy(zero_copy_only=False))
         if len(garbled):  # judged by what they say
             mended = pages.to_pylist()
             for d in garbled.tolist():

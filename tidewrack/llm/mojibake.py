@@ -262,13 +262,15 @@ def _unutf8(text: str, codec: str, model: PairModel) -> str:
 
 
 def plain_utf8(text: str) -> str:
-    """A text full of UTF-8 sequences read in one encoding, decoded without a model; for judging pages, not for repair."""
+    """UTF-8 sequences read in one encoding, decoded without a model, be they few or many; for judging pages, not for repair."""
     for _ in range(2):
         best = max(("cp1252", "cp1251", "mac_roman", "cp437", "latin-1"), key=lambda c: sum(map(len, _PATTERNS[c].findall(text))))
-        if len(_PATTERNS[best].findall(text)) < 3:
+        if not _PATTERNS[best].search(text):
             break
 
-        def back(m: re.Match, codec: str = best) -> str:
+        def back(m: re.Match, codec: str = best, text: str = text) -> str:
+            if codec in _CYRILLIC and "\u0400" <= text[max(0, m.start() - 1)] <= "\u045f" and m.start():
+                return m.group()  # the end of a sound word and a quotation mark
             try:
                 return bytes(_BYTES[codec][c] for c in m.group()).decode("utf-8")
             except UnicodeDecodeError:

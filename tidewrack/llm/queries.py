@@ -121,8 +121,7 @@ def p7_passages(spark: SparkSession, d: str) -> DataFrame:
 
 def _p4_flagged(spark: SparkSession, d: str) -> DataFrame:
     common = boilerplate.word_lists(table(spark, d, "common_words"))
-    pages = cut(spam.measured(table(spark, d, "crawled_docs"), "crawl_id", "text", "links", common))
-    return spam.flag(pages, spam.references(spam.ratio_bins(pages)))
+    return spam.judge(cut(spam.measured(table(spark, d, "crawled_docs"), "crawl_id", "text", "t", "links", common)))
 
 
 @query

@@ -98,11 +98,12 @@ def measure(texts: list[str | None], titles: list[str | None], common: set[str])
         solid = sum(map(len, tokens))
         address = sum(len(m) for m in _ADDRESS.findall(t)) / max(1, solid)
         ratio, size = block_ratio(t, address >= ADDRESS_SHARE)
-        bare = [x for x in _COUNT.sub(" ", _ADDRESS.sub(" ", t)).split() if any(map(str.isalnum, x))]
-        numbers = sum(not any(map(str.isalpha, x)) for x in bare) / max(1, len(bare))
-        letters = sum(c.isalpha() for c in t) / max(1, solid)
+        bare = [x for x in (_COUNT.sub(" ", _ADDRESS.sub(" ", t)).split() if address or "(" in t else tokens) if x[0].isalpha() or any(map(str.isalnum, x))]
+        numbers = sum(not (x[0].isalpha() or any(map(str.isalpha, x))) for x in bare) / max(1, len(bare))
+        every = _WORD.findall(t.lower())
+        letters = sum(map(len, every)) / max(1, solid)
         sentences = [s for s in re.split(r"(?<=[.!?…])\s+|\n+", t) if s.strip()]
-        words = [w for w in _WORD.findall(t.lower()) if len(w) > 3 and w not in common]
+        words = [w for w in every if len(w) > 3 and w not in common]
         times = Counter(words)
         top, most = times.most_common(1)[0] if words else ("", 0)
         with_top = sum(top in s.lower() for s in sentences) if top else 0
@@ -138,8 +139,10 @@ def ratio_bins(pages: DataFrame) -> DataFrame:
     """``(lang, cls, bin, n)`` of compression ratios of natural pages, weights of distinct texts; one counts for its language and for all."""
     bin_ = F.least(F.lit(1000), F.round(F.col("ratio") * 1000)).cast("int").alias("bin")
     natural = pages.where((F.col("ends") >= LOW_PUNCTUATION) & (F.col("keyword") < KEYWORD_SHARE) & (F.col("address") < ADDRESS_SHARE))
-    texts = natural.groupBy("key").agg(F.min(F.struct("lang", "cls", bin_)).alias("r"), weight(F.count("*")).alias("w"))
-    bins = texts.select(F.explode(F.array("r.lang", F.lit(ALL))).alias("lang"), "r.cls", "r.bin", "w")
+    # one number a page, so that a key's least one is kept in a hash table without sorting
+    coded = natural.select("key", "lang", (F.col("cls").cast("bigint") * 1001 + bin_).alias("coded"))
+    texts = coded.groupBy("key", "lang").agg(F.min("coded").alias("coded"), weight(F.count("*")).alias("w"))
+    bins = texts.select(F.explode(F.array("lang", F.lit(ALL))).alias("lang"), F.floor(F.col("coded") / 1001).cast("int").alias("cls"), (F.col("coded") % 1001).cast("int").alias("bin"), "w")
     return bins.groupBy("lang", "cls", "bin").agg(F.sum("w").alias("n"))
 
 

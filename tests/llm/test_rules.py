@@ -6,11 +6,11 @@ from tidewrack.llm import pii, residue, toxicity
 
 FOUND = [
     ("Dear {{ user.first_name }}, welcome.", "placeholder"), ("Hello ${NAME}", "placeholder"), ("<%= page.title %>", "placeholder"), ("[AUTHOR] writes", "placeholder"), ("%%date%%", "placeholder"), ("__site.name__ news", "placeholder"),
-    ("Lorem ipsum dolor sit amet.", "message"), ("404 Not Found", "message"), ("Fehler 404. Seite nicht gefunden", "message"), ("Please enable JavaScript to view this page.", "message"), ("Включите JavaScript, чтобы продолжить.", "message"), ("Access Denied", "message"), ("TODO: write summary", "placeholder"),
+    ("Lorem ipsum dolor sit amet.", "message"), ("Commodo in aliquip adipiscing dolor sit.", "message"), ("Warning: include(/srv/a.php): failed to open stream: No such file or directory on line 9", "message"), ("Hi %FIRST_NAME%, hello", "placeholder"), ("Dear *|FNAME|*", "placeholder"), ("Zugriff verweigert", "message"), ("JavaScript est désactivé", "message"), ("404 Not Found", "message"), ("Fehler 404. Seite nicht gefunden", "message"), ("Please enable JavaScript to view this page.", "message"), ("Включите JavaScript, чтобы продолжить.", "message"), ("Access Denied", "message"), ("TODO: write summary", "placeholder"),
 ]
 SOUND = [
     "A template engine replaces a marker such as {{ name }} with the reader's name.", "Shell scripts read ${HOME} to find a folder.", "The field is called [optional notes], which most leave empty.", "Printers use the words lorem ipsum as filler for ages.",
-    "The talk explained why a 404 page should say more.", "With JavaScript turned off, the map falls back to a picture.", "if (a<b) { return a==b ? 1 : 2; }", "Room 404 was never found by the guests.", "Write to nora [at] example.org today.", "Just a walk in the rain.",
+    "The talk explained why a 404 page should say more.", "With JavaScript turned off, the map falls back to a picture.", "if (a<b) { return a==b ? 1 : 2; }", "Room 404 was never found by the guests.", "Write to nora [at] example.org today.", "Just a walk in the rain.", "El texto habla de la plaza y de la gente.", "In the session they asked for a break.", "Est-ce que non? Et in Arcadia ego.", "The page was torn out of the book.", "Prices rose 10%ABC% said nobody.", "He could not find the page in the atlas he had bought.", "Enter the hall here and turn left, said the guide.",
 ]
 
 
@@ -21,18 +21,53 @@ def test_residue(spark):
     got = {(r.id, r.field): r.kind for r in residue.classify(residue.fields_of(df)).collect()}
     want = {(i, "text"): k for i, (_, k) in enumerate(FOUND)} | {(200, "text"): "recurring", (201, "text"): "recurring"}
     assert got == want  # "Please wait" stands in one source only
-    assert {r.message for r in residue.messages(residue.fields_of(df)).collect()} == {"loading"}
+    assert {(r.message, r.kind, r.fields, r.sources) for r in residue.messages(residue.fields_of(df)).collect()} == {("loading", "recurring", 3, 2), ("lorem ipsum dolor", "message", 2, 2)}
     assert residue.classify(residue.fields_of(df.where("false"))).count() == 0
 
 
 def test_recurring_messages_outside_the_list(spark):
     rows = [(1, "This domain mill-lane.example is parked.", "Your page title", "a"), (2, "Some text.\nThis domain hill.example.org is parked.", "Your page title", "b"), (3, "The mill was painted in spring.", "Notes", "a"), (4, "The mill was painted in spring.", "Notes", "b"), (5, "This site is suspended.", "Our page title", "a"), (6, "This site is suspended.", None, "a")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, title string, source string")
-    got = {(r.id, r.field): r.kind for r in residue.classify(residue.fields_of(df)).collect()}
-    assert got == {(i, f): "recurring" for i in (1, 2) for f in ("text", "title")}  # sound text recurs too; a suspended site stands in one source
+    got = {(r.id, r.field): (r.kind, r.sources) for r in residue.classify(residue.fields_of(df)).collect()}
+    assert got == {(i, f): ("recurring", 2) for i in (1, 2) for f in ("text", "title")}  # sound text recurs too; a suspended site stands in one source
     assert {(r.message, r.fields, r.sources) for r in residue.messages(residue.fields_of(df)).collect()} == {("this domain @ is parked", 2, 2), ("your page title", 2, 2)}
 
 
+def test_units_of_any_length_and_a_message_in_a_third_of_all_rows(spark):
+    long = "This domain " + "x" * 400 + ".example is parked."
+    shuffled = ["Veniam dolor ipsum magna amet sit quis.", "Amet quis sit magna, ipsum dolor veniam."]  # one normal form
+    rows = [(i, long, "a" if i % 2 else "b") for i in range(2)] + [(10 + i, t, f"s{i}") for i, t in enumerate(shuffled)] + [(100 + i, "Just a moment...", f"s{i % 7}") for i in range(60)] + [(300 + i, f"The mill of Velby was painted in {1900 + i}.", f"s{i % 7}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.id: r.sources for r in residue.classify(residue.fields_of(df, columns=("text",))).collect()}
+    assert got == {0: 2, 1: 2, 10: 2, 11: 2} | {100 + i: 7 for i in range(60)}
+    assert max(len(r.message) for r in residue.messages(residue.fields_of(df, columns=("text",))).collect()) < 40  # masked
+
+
+def test_rules_before_the_grouping_give_the_rows_of_rules_after_it(spark, small):
+    """Brute force: group all masked segments of a table by hash over sources first, then classify the recurring ones."""
+    from collections import defaultdict
+
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    d = pd.read_parquet(f"{small.replace('0.001', '0.01')}/documents.parquet")
+    values = [(i, s or "", f, v) for i, s, *both in d[["doc_id", "source", "text", "title"]].itertuples(index=False) for f, v in zip(("text", "title"), both) if v]
+    text, owner = residue.split(pa.array([v[3] for v in values]))
+    normal = residue.mask(text)
+    about = pc.match_substring_regex(text, residue.ABOUT).to_pylist()
+    sources, held = defaultdict(set), defaultdict(set)
+    for seg, n, o, a in zip(text.to_pylist(), normal.to_pylist(), owner.tolist(), about):
+        for key in [("", n), *(("slot", s) for s in residue.slots(seg))] if not a else ():
+            sources[key].add(values[o][1])
+            held[key].add(values[o][:1] + values[o][2:3])
+    wide = [k for k in held if len(sources[k]) >= residue.SOURCES]
+    told = pc.match_substring_regex(pa.array([n for _, n in wide]), f"{residue.MESSAGES}|{residue.RECURRING}").to_pylist()
+    want = {x for k, t in zip(wide, told) if t or k[0] for x in held[k]}
+    found = residue.classify(residue.fields_of(spark.read.parquet(f"{small.replace('0.001', '0.01')}/documents.parquet"))).collect()
+    assert {(r.id, r.field) for r in found if r.sources >= residue.SOURCES} == want and len(want) > 0.9 * len(found)
+
+
 DETAILS = [
     ("Write to nora+list@mail.example.org today.", "email", "nora+list@mail.example.org"), ("owen at hart-post dot example dot net", "email", "owen at hart-post dot example dot net"), ("mei [at] post.example.com", "email", "mei [at] post.example.com"),
     ("Call +44 7700 900477 after six.", "phone", "+44 7700 900477"), ("Ring (555) 555-0120.", "phone", "(555) 555-0120"), ("Tel. 01.99.00.45.66", "phone", "01.99.00.45.66"), ("0039 06 0000 0502 only", "phone", "0039 06 0000 0502"),

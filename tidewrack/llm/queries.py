@@ -142,7 +142,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p6_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Recurring messages over sources, masked."""
+    """Recurring messages and slots over sources, in normal form."""
     return residue.messages(residue.fields_of(table(spark, d, "documents")))
 
 

@@ -65,7 +65,13 @@ def test_rules_before_the_grouping_give_the_rows_of_rules_after_it(spark, small)
     told = pc.match_substring_regex(pa.array([n for _, n in wide]), f"{residue.MESSAGES}|{residue.RECURRING}").to_pylist()
     want = {x for k, t in zip(wide, told) if t or k[0] for x in held[k]}
     found = residue.classify(residue.fields_of(spark.read.parquet(f"{small.replace('0.001', '0.01')}/documents.parquet"))).collect()
-    assert {(r.id, r.field) for r in found if r.sources >= residue.SOURCES} == want and len(want) > 0.9 * len(found)
+    assert {(r.id, r.field) for r in found if r.sources >= residue.SOURCES} == want and len(want) > 0.5 * len(found)
+
+
+def test_alternatives_of_patterns():
+    assert residue.alternatives(r"a(b|c)|^[|)]x|\||d") == ["a(b|c)", "^[|)]x", r"\|", "d"]
+    for p in (residue.MESSAGES, residue.RECURRING):
+        assert "|".join(residue.alternatives(p)) == p and sorted(residue.alternatives("|".join(residue._apart(p)))) == sorted(residue.alternatives(p))
 
 
 DETAILS = [

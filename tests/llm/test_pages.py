@@ -108,11 +108,38 @@ def test_rows_that_are_the_majority_of_a_language(spark, common, chain):
     assert stats.where("id >= 2000 and lang = 'de'").count() == 101
     names = ("sentence_share",)
     assert {r.n for r in quality.sketches(quality.distinct_texts(stats.where("id between 2000 and 2999"), names), names).where("lang = 'de'").collect()} == {7}
-    for seen in (quality.distinct_texts(stats, names), stats):  # even without bounded copies, all languages are the better reference
-        got = {r.id for r in quality.flag(stats, quality.collect_sketches(quality.sketches(seen, names))).where("non_prose").collect()}
+    for seen in (quality.distinct_texts(stats), stats):  # even without bounded copies, all languages are the better reference
+        got = {r.id for r in quality.flag(stats, quality.collect_sketches(quality.sketches(seen))).where("non_prose").collect()}
         assert got == {*range(2000, 2100), 3000}
 
 
+def test_tails_of_the_corpus_decide(spark, common, chain):
+    """The same page is in the tails of one corpus and in the middle of another."""
+    page = "\n".join(f"{w} and the {v} of the village" for w in ("Mills", "Barns", "Roads") for v in ("river", "house", "wood"))
+    prose = [f"The mill by the river was built in {1800 + i}. It still grinds corn for the village, and it is open in summer. The house is {'very ' * (i % 5)}old." for i in range(80)]
+    lists = ["\n".join(f"{rng_w} and the {v} of the village" for rng_w in ("Fields", "Ponds", "Walls")[: 1 + i % 3] for v in ("church", "school", "inn", "road")[: 2 + i % 3]) + f"\n{'It is the old part of the village, and it is open in summer. ' * (i % 2)}" for i in range(80)]
+    verdicts = []
+    for corpus in (prose, lists):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus)] + [(1000, page)], "rec_id bigint, c string")
+        stats = quality.statistics(df, "raw_docs", "rec_id", "c", None, chain, common).cache()
+        got = quality.flag(stats, quality.collect_sketches(quality.sketches(quality.distinct_texts(stats)))).where("id = 1000").first()
+        assert got.junk_share > 0.5  # the exact check alone says the same of both
+        verdicts.append(got.non_prose)
+    assert verdicts == [True, False]
+
+
+def test_few_documents_of_a_language_are_drawn_towards_all():
+    rng = np.random.default_rng(3)
+    make = lambda x: quality.Sketch("mean_word", dict(zip(*(v.tolist() for v in np.unique(quality.to_bin("mean_word", x), return_counts=True)))))
+    whole, last = make(rng.normal(5, 0.5, 5000)), None
+    for n in (0, 1, 49, 50, 51, 500, 50_000):  # no switch at any number
+        own = make(rng.normal(8, 0.5, n)) if n else quality.Sketch("mean_word")
+        mid, _ = quality.Reference({("*", "mean_word"): whole, ("de", "mean_word"): own}, "de", "mean_word").spread()
+        assert last is None or mid >= last - 0.1
+        last = mid
+    assert last > 7.9 and abs(quality.Reference({("*", "mean_word"): whole}, "de", "mean_word").spread()[0] - 5) < 0.1
+
+
 def test_spam(spark, common):
     prose = ["The mill by the river was built in 1820. It grinds corn, and the bakery beside it sells rye bread on most days.", "A night train leaves the old station at ten. Few people take it, for the road is quicker now and costs less.", "My aunt keeps bees behind the barn. She gave us three jars of honey when we left the farm in autumn."]
     good = [(i, " ".join(prose[k % 3] for k in range(i % 3, i % 3 + 3)), []) for i in range(120)]

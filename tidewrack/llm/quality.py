@@ -6,14 +6,16 @@
 2. Each statistic is sketched per language as counts over fixed logarithmic or linear bins. Adding counts merges
    sketches exactly; a quantile is off by at most one bin (1 % for logarithmic bins). A sketch has at most ``BINS`` bins,
    a task at most languages x statistics of them, and only summed bins reach the driver.
-3. Each value becomes a percentile and a robust z-score (median and median absolute deviation from the sketch).
-4. A document is no prose if its sentence share lies in the lower tail of its language or of all languages, whichever has
-   the more prose-like median (of all, for text of none), both sketched over distinct texts (:func:`distinct_texts`), so that
-   neither copies nor a majority of junk in a language can make junk the rule, and, checked exactly, more than half of its content is rows, code or junk and not sentences.
+3. Each value becomes a percentile and a robust z-score (median and median absolute deviation from the sketch of its
+   language, drawn towards that of all languages as ``SHRINK`` documents would draw it).
+4. A document is a candidate if it lies in the tails of its language: in the lower one of the sentence share, and in
+   those of at least ``OUTLYING`` of the thirteen statistics that do not judge sentences. The sketches are of distinct
+   texts (:func:`distinct_texts`), and the sentence share is judged by its language or by all languages, whichever has the
+   more prose-like median, so that neither copies nor a majority of junk can make junk the rule. A candidate is no prose
+   if, checked exactly, more than half of its content is rows, code or junk and not sentences.
 
 Defined results: null and empty texts have null statistics and are never flagged; repeated rows count once each in the
-quantiles and percentiles; a
-language with fewer than ``LEAST`` documents is judged by the sketch of all; an empty table gives empty results.
+quantiles and percentiles; text of no language is judged by the sketch of all; an empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ from .blocks import Blocks, CommonWords, doubled
 from .boilerplate import Chain, tag
 
 BINS = 2048
-LEAST = 50
-TAIL = 3.0  # robust z-scores
+SHRINK = 50  # documents that the sketch of all languages counts for beside that of a language
+TAIL = 3.0  # robust z-scores of the sentence share
+OUTLYING, OUTER = 2, 1.5  # other statistics of a candidate beyond so many robust z-scores, at least
 LEAST_SPREAD = 0.02  # of shares, so that a language of equal values has no tail at rounding errors
 _SLAB = 4000
 ALL = "*"
@@ -186,9 +189,9 @@ def statistics(df: DataFrame, tbl: str, id_col: str, text_col: str, title_col: s
     return src.mapInArrow(run, _FIELDS).select(F.lit(tbl).alias("tbl"), "*")
 
 
-def distinct_texts(stats: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def distinct_texts(stats: DataFrame, names: tuple[str, ...] = STATS) -> DataFrame:
     """``(w, lang, *names)``: one row per distinct text (:func:`text_key`), which weighs by the doublings of its copies."""
-    return stats.groupBy("key").agg(F.min(F.struct("lang", *names)).alias("r"), weight(F.count("*")).alias("w")).select("w", "r.*")
+    return stats.groupBy("key", "lang").agg(weight(F.count("*")).alias("w"), *(F.min(n).alias(n) for n in names)).drop("key")
 
 
 def sketches(stats: DataFrame, names: tuple[str, ...] = STATS) -> DataFrame:
@@ -220,23 +223,47 @@ def collect_sketches(bins: DataFrame) -> dict[tuple[str, str], Sketch]:
     return out
 
 
-def _reference(sk: dict[tuple[str, str], Sketch], lang: str, name: str) -> Sketch:
-    own = sk.get((lang, name))
-    return own if lang and own is not None and own.n >= LEAST else sk.get((ALL, name), Sketch(name))
+class Reference:
+    """What a language's values are compared with: its own sketch, drawn towards that of all languages."""
+
+    def __init__(self, sk: dict[tuple[str, str], Sketch], lang: str, name: str):
+        self.name, self.whole = name, sk.get((ALL, name), Sketch(name))
+        self.own = sk.get((lang, name), Sketch(name)) if lang and lang != ALL else Sketch(name)
+        self.share = self.own.n / (self.own.n + SHRINK)
+
+    def _drawn(self, own, whole):
+        return self.share * own + (1 - self.share) * whole if self.own.n else whole
+
+    def spread(self) -> tuple[float, float]:
+        """Median and spread, the latter not below a least one."""
+        (m, d), (m_all, d_all) = self.own.spread(), self.whole.spread()
+        mid = self._drawn(m, m_all)
+        return mid, max(self._drawn(d, d_all), LEAST_SPREAD if self.name in SHARES else 0.02 * max(1.0, mid))
+
+    def percentile(self, x: np.ndarray) -> np.ndarray:
+        return self._drawn(self.own.percentile(x), self.whole.percentile(x))
+
+
+#: Statistics that do not judge sentences.
+OTHERS = tuple(n for n in STATS if n not in ("sentence_share", "junk_share"))
 
 
 def flag(stats: DataFrame, sk: dict[tuple[str, str], Sketch]) -> DataFrame:
-    """Statistics with percentile and robust z-score of the sentence share, and ``non_prose``."""
-    langs = sorted({lang for lang, _ in sk})
-    mids: dict[str, tuple[float, float]] = {lang: _reference(sk, "" if lang == ALL else lang, "sentence_share").spread() for lang in {*langs, ALL}}
-    mids = {lang: own if own[0] >= mids[ALL][0] else mids[ALL] for lang, own in mids.items()}  # a language of mostly junk is judged by all
-    table = [(lang, mid, max(spread, LEAST_SPREAD)) for lang, (mid, spread) in mids.items()]
+    """Statistics with the robust z-scores of all of them, the number of other statistics in their tails, and ``non_prose``."""
+    rows = []
+    for lang in sorted({lang for lang, _ in sk} | {""}):
+        refs = {n: Reference(sk, lang, n).spread() for n in STATS}
+        whole = Reference(sk, "", "sentence_share").spread()
+        refs["sentence_share"] = max(refs["sentence_share"], whole)  # a language of mostly junk is judged by all
+        rows.append((lang, *(float(x) for n in STATS for x in refs[n])))
     spark = stats.sparkSession
-    ref = spark.createDataFrame(table, "lang string, mid double, spread double") if table else spark.createDataFrame([], "lang string, mid double, spread double")
-    whole = mids.get(ALL, (1.0, LEAST_SPREAD))
-    joined = stats.join(F.broadcast(ref), "lang", "left")  # one row per language
-    z = (F.col("sentence_share") - F.coalesce("mid", F.lit(float(whole[0])))) / F.coalesce("spread", F.lit(max(float(whole[1]), LEAST_SPREAD)))
-    return joined.withColumn("z", z).withColumn("non_prose", (F.col("z") <= -TAIL) & (F.col("junk_share") > 0.5) & (F.col("content") > 0)).drop("mid", "spread")
+    ref = spark.createDataFrame(rows, "_lang string, " + ", ".join(f"_mid_{n} double, _spread_{n} double" for n in STATS))
+    joined = stats.join(F.broadcast(ref), F.col("lang") == F.col("_lang"), "left")  # one row per language
+    z = {n: (F.col(n) - F.col(f"_mid_{n}")) / F.col(f"_spread_{n}") for n in STATS}
+    scored = joined.select(*stats.columns, *(z[n].alias(f"z_{n}") for n in STATS))
+    outlying = sum((F.abs(F.col(f"z_{n}")) > OUTER).cast("int") for n in OTHERS)
+    candidate = (F.col("z_sentence_share") <= -TAIL) & (F.col("outlying") >= OUTLYING)
+    return scored.withColumn("outlying", outlying).withColumn("non_prose", candidate & (F.col("junk_share") > 0.5) & (F.col("content") > 0))
 
 
 def standing(stats: DataFrame, sk: dict[tuple[str, str], Sketch], names: tuple[str, ...] = STATS) -> DataFrame:
@@ -245,7 +272,7 @@ def standing(stats: DataFrame, sk: dict[tuple[str, str], Sketch], names: tuple[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = {k: Sketch(k[1], v) for k, v in shared.value.items()}
-        cache: dict[tuple[str, str], tuple[Sketch, float, float]] = {}
+        cache: dict[tuple[str, str], tuple[Reference, float, float]] = {}
         for b in batches:
             langs = b.column(2).to_numpy(zero_copy_only=False)
             for k, name in enumerate(names):
@@ -253,12 +280,12 @@ def standing(stats: DataFrame, sk: dict[tuple[str, str], Sketch], names: tuple[s
                 pct, z = np.zeros(len(x)), np.zeros(len(x))
                 for lang in set(langs.tolist()):
                     if (lang, name) not in cache:
-                        r = _reference(have, lang, name)
+                        r = Reference(have, lang, name)
                         cache[lang, name] = (r, *r.spread())
                     r, mid, spread = cache[lang, name]
                     at = langs == lang
                     pct[at] = r.percentile(x[at])
-                    z[at] = (x[at] - mid) / max(spread, LEAST_SPREAD if name in SHARES else 0.02 * max(1.0, mid))
+                    z[at] = (x[at] - mid) / spread
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([name] * len(x)), pa.array(x), pa.array(pct), pa.array(z)], names=["tbl", "id", "lang", "stat", "value", "pct", "z"])
 
     return stats.select("tbl", "id", "lang", *names).mapInArrow(run, "tbl string, id bigint, lang string, stat string, value double, pct double, z double")

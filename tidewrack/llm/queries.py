@@ -82,8 +82,7 @@ def _p5_statistics(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     stats = _p5_statistics(spark, d)
-    names = ("sentence_share",)
-    sk = quality.collect_sketches(quality.sketches(quality.distinct_texts(stats, names), names))
+    sk = quality.collect_sketches(quality.sketches(quality.distinct_texts(stats)))
     return quality.flag(stats, sk).where("non_prose").select("tbl", "id").distinct()
 
 

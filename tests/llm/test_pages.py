@@ -69,6 +69,17 @@ def test_html_pages_by_ancestors():
     assert b.text.to_pylist() == ["Home", "The mill stands by the river."] and b.tags == [("nav", "a"), ("article", "p")]
 
 
+def test_classes_of_characters_are_those_of_patterns():
+    import pyarrow.compute as pc
+
+    from tidewrack.llm.blocks import class_counts
+
+    t = pa.array(["", "Aé ß Ж9\t½Ⅷ", "日本語 한 عربي", "🌿 x", "ǅ ÀÁ\r\n٣"])
+    got = class_counts(t)
+    for name, p in (("letters", r"\p{L}"), ("numbers", r"\p{N}"), ("blanks", r"\s"), ("capitals", r"\p{Lu}")):
+        assert got[name].tolist() == pc.count_substring_regex(t, p).to_pylist()
+
+
 def test_sketches_merge_exactly():
     rng = np.random.default_rng(1)
     x = rng.lognormal(3, 1, 4000)

@@ -7,6 +7,8 @@ turned into lines, with the ancestor tags of each text leaf kept as a mark in fr
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -85,6 +87,31 @@ def _counts(lists: pa.ListArray) -> np.ndarray:
     return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+@lru_cache(maxsize=1)
+def _class_table() -> np.ndarray:
+    """By code point: 1 for letters, 2 for numbers, 4 for ASCII blanks, 8 for capitals; letters beyond the third plane."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    for c in range(0x30000):
+        kind = unicodedata.category(chr(c))
+        table[c] = (1 if kind[0] == "L" else 2 if kind[0] == "N" else 0) | (8 if kind == "Lu" else 0)
+    table[0x30000:0xE0000] = 1
+    table[[9, 10, 12, 13, 32]] |= 4
+    return table
+
+
+def class_counts(text: pa.Array) -> dict[str, np.ndarray]:
+    """Letters, numbers, blanks and capitals of each string, from one look at every character."""
+    sizes = pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = np.frombuffer("".join(text.to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kinds = _class_table()[codes]
+    ends = np.cumsum(sizes)
+    out = {}
+    for name, bit in (("letters", 1), ("numbers", 2), ("blanks", 4), ("capitals", 8)):
+        total = np.concatenate([[0], np.cumsum((kinds & bit) != 0, dtype=np.int64)])
+        out[name] = total[ends] - total[ends - sizes]
+    return out
+
+
 def _apart(page: str, title: str | None) -> str:
     """The page with its own title, where a page of one line repeats it, as a block."""
     title = title.strip() if title else ""
@@ -180,15 +207,15 @@ def sentence_shape(b: Blocks, common: CommonWords) -> dict[str, np.ndarray]:
     low = doubled(b.text)
     chars = np.maximum(b.chars, 1)
     words = b.count(r"\p{L}[\p{L}\p{M}'’-]*")
-    letters = b.count(r"\p{L}")
+    kinds = class_counts(b.text)
+    letters = kinds["letters"]
     frequent = common.count(low)
     ended = b.has(r'[.!?…]["”»’)\]“]*$')
     upper = b.has(r'^["“„«¿¡(\[]*[\p{Lu}\d]')
-    blanks = b.count(r"\s")
-    lettered = letters / np.maximum(1, chars - blanks)
+    lettered = letters / np.maximum(1, chars - kinds["blanks"])
     often = frequent / np.maximum(1, words)
     code = b.has(r"[;{}]\s*$|\w\(.*\);|[=+~|#*%@_]{2,}|0x[0-9a-f]{4}")
-    shouting = b.count(r"\p{Lu}") > 0.6 * letters
+    shouting = kinds["capitals"] > 0.6 * letters
     # only a page's last sentence may have been cut off
     last = np.r_[b.doc[1:] != b.doc[:-1], True] if len(b) else np.zeros(0, bool)
     plain = (words >= 4) & (lettered > 0.6) & ~code

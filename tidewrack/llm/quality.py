@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Blocks, CommonWords, doubled
+from .blocks import Blocks, CommonWords, class_counts, doubled
 from .boilerplate import Chain, tag
 
 BINS = 2048
@@ -132,8 +132,8 @@ def measure(pages: pa.Array, titles: pa.Array | None, chain: Chain, common: Comm
     b, state, s = tag(pages, titles, chain, common)
     n = b.n_docs
     chars = pc.utf8_length(pages).to_numpy(zero_copy_only=False).astype(np.float64)
-    count = lambda p: pc.count_substring_regex(pages, p).to_numpy(zero_copy_only=False).astype(np.float64)
-    letters, digits, blanks, upper = b.sum_by_doc(s["letters"]), count(r"\p{N}"), count(r"\s"), count(r"\p{Lu}")
+    kinds = class_counts(pages)
+    letters, digits, blanks, upper = b.sum_by_doc(s["letters"]), kinds["numbers"].astype(np.float64), kinds["blanks"].astype(np.float64), kinds["capitals"].astype(np.float64)
     words = b.sum_by_doc(s["words"])
     solid = np.maximum(1, chars - blanks)
     body = state == 0

@@ -103,15 +103,69 @@ def test_redaction_keeps_the_rest():
 
 
 def test_surrogates_are_keyed_consistent_and_distinct():
-    a, b = pii.disguise(BLOCK, b"k1"), pii.disguise(BLOCK, b"k1")
-    assert a == b != pii.disguise(BLOCK, b"k2")
+    made = pii.Surrogates(pii.Keyed(b"k1"))
+    a, b = pii.disguise(BLOCK, made), pii.disguise(BLOCK, pii.Surrogates(pii.Keyed(b"k1")))
+    assert a == b != pii.disguise(BLOCK, pii.Surrogates(pii.Keyed(b"k2")))
     found = pii.find(a)
     assert [d.kind for d in found] == [d.kind for d in pii.find(BLOCK)]
     names = [d.surface for d in found if d.kind == "name"]
     family, given = names[0].split(", ")
     assert names[1] == f"{given} {family}" and names[2] != names[1]
+    assert made.of("name", "I. Osmer") == f"{given[0]}. {family}" and made.of("name", "IVY OSMER") == f"{given} {family}".upper()
     phones = [d.surface for d in found if d.kind == "phone"]
     assert phones[0] == phones[1] and phones[0].startswith("(555)") and not {d.surface for d in found} & {d.surface for d in pii.find(BLOCK)}
+    he, she = made.of("name", "Егор Вербин"), made.of("name", "Анна Вербина")
+    assert he.split()[1] + "а" == she.split()[1] and she.split()[0].endswith("а")
+
+
+def test_keyed_digits_are_permutations():
+    k = pii.Keyed(b"k")
+    for n in (1, 2, 3, 4):
+        assert sorted(k.digits("x", str(i).zfill(n)) for i in range(10**n)) == [str(i).zfill(n) for i in range(10**n)]
+    assert {k.number("h", str(i)) for i in range(100, 1000)} == {str(i) for i in range(100, 1000)}
+    assert len({pii.Surrogates(k).of("phone", f"+44 7700 {i:06d}") for i in range(3000)}) == 3000
+
+
+def test_ten_thousand_names_over_the_corpus(spark):
+    """Different names get different surrogates whatever documents they stand in, each the same everywhere; few syllables force collisions."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(n)).title()
+    given, family = [], []
+    while len(given) < 100 or len(family) < 100:
+        w = word(3)
+        if w not in given and w not in family and not pii._NOT_NAMES.search(w):
+            (given if len(given) < 100 else family).append(w)
+    names = [f"{g} {f}" for g in given for f in family]
+    rows = [(i, f"Ask {n} for the key. The mill was built here.") for i, n in enumerate(names)] + [(20_000 + i, f"Please thank Dr. {n} for the talk.\nAsk {names[i + 1]} too.") for i, n in enumerate(names[:500])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = {r.doc_id: r.text for r in pii.replace_details(df, key=b"k").collect()}
+    new = [got[i][4:].split(" for the key")[0] for i in range(len(names))]
+    assert len(set(new)) == len(names) == 10_000 and not set(new) & set(names)
+    for i in range(500):
+        assert got[20_000 + i] == f"Please thank Dr. {new[i]} for the talk.\nAsk {new[i + 1]} too."
+    details = pii.find_details(df).select("kind", "surface")
+    few = {(r.what, r.part): r.rank for r in pii.exceptions(details, b"k", 1).collect()}  # 120 words for 200 parts: many collide
+    keyed = pii.Keyed(b"k", 1, few)
+    assert few and len({keyed.word("given", g.lower()) for g in given}) == len({keyed.word("family", f.lower()) for f in family}) == 100
+    assert not {keyed.word("given", g.lower()) for g in given} & {g.lower() for g in given}
+
+
+def test_names_written_again_and_titled():
+    t = "Ask Ivy Osmer for the key. Later I. Osmer came, and Osmer, Ivy was written on the door. Ivy Osmerton stayed."
+    assert [d.surface for d in pii.find(t)] == ["Ivy Osmer", "I. Osmer", "Osmer, Ivy"]
+    for t, n in (("We met Dr. Priya Casper at noon.", "Priya Casper"), ("Then Felix Holt said that it rains.", "Felix Holt"), ("Gestern kam Frau Anna Weber hierher.", "Anna Weber")):
+        assert [(d.kind, d.surface) for d in pii.find(t)] == [("name", n)]
+
+
+def test_names_behind_triggers_are_those_of_a_whole_scan(small):
+    """The places that are tried give all names that the pattern finds from any place of a text."""
+    import pandas as pd
+
+    texts = [t for t in pd.read_parquet(f"{small}/documents.parquet").text if t]
+    texts += ["       — Егор Вербин, a guest", "\n\n      - Owen Hart\n— Uta Brand", "x.  — Ivy Holt", "The winner,  Ivy Holt", "the winner, Ivy Holt was here", "Signed,\nIvy Holt", "Photo : Ivy Holt", "thanks to Ivy Holt, thank to Uta Brand", "El ganador, Ivy Holt; la ganadora, Uta Brand", "спросите Егор Вербин", "Il vincitore, Dott. Ivy Holt"]
+    for t in texts:
+        brute = {m.span("n") for i in range(len(t)) if (m := pii._BEFORE.match(t, i))}
+        assert {m.span("n") for m in pii._triggered(t)} == brute, t
 
 
 def test_pii_operators(spark):

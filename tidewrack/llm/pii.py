@@ -1,31 +1,45 @@
 """Problem 10: personal details in free text: find them, replace them by placeholders or by surrogates.
 
 Detection is by shape (addresses in any notation, telephone and identity numbers by national formats, streets with house
-numbers) and, for names, by shape and context: a person's name stands where a signature, a speaker, a contact person or
-the head of a contact entry stands.
-
-Surrogates are keyed: a part of a name, a digit string or an address is replaced by a hash of the key and the part, so
-that one person or number has one surrogate wherever it is mentioned (coreference, also of initials and of names written
-family first), with gender by given name, script, letter case and format kept. Within a document surrogates of different
-entities are made distinct, and none equals a detail of the document: a clash is hashed again with a counter.
-
-Documents are worked on one by one in Arrow batches, without a shuffle. Defined results: null and empty texts have no
-details and stay as they are; overlapping details keep the earlier and longer; a repeated detail is one row of
-:func:`find` per place and one of ``p10_found``; extra columns are ignored; an empty table gives an empty table.
+numbers) and, for names, by shape and context: a person's name stands where a signature, a speaker, a titled person, a
+contact person or the head of a contact entry stands; and wherever a name found so is written again in the document, in
+full, family first or with an initial.
+
+Surrogates are keyed and hold for the whole corpus, so that a person or number has one surrogate wherever it is mentioned
+and different ones have different surrogates:
+
+* Digits of telephone and identity numbers and of houses go through a keyed permutation of all numbers of their length
+  (a Feistel network), which keeps country or area code and format; a permutation cannot collide. Letters of identity
+  numbers go through keyed permutations of the alphabet.
+* Name parts, streets, mail boxes and hosts become made-up words: the initial by a keyed permutation of letters (so that
+  an initial stands for the name it begins), the rest spelt from a hash of key and part, with gender ending, script and
+  case kept. Words can collide: all distinct parts of the corpus are grouped by their word, and in a group of several
+  (or with a part that really exists) all but the first get their rank spelt behind it. Only those exceptions are sent to
+  the pass that writes texts. The number of syllables grows with the number of distinct parts, so that no more than
+  about ``EXCEPTIONS`` are to be expected whatever the corpus; their number is checked before they are broadcast.
+
+Finding works on documents one by one in Arrow batches, without a shuffle; the collision check shuffles distinct parts,
+never texts. Defined results: null and empty texts have no details and stay as they are; overlapping details keep the
+earlier and longer; a repeated detail is one row of :func:`find` per place and one of ``p10_found``; extra columns are
+ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewrack.session import cut
+
 KINDS = ("name", "email", "phone", "id_number", "street_address")
 
 
@@ -114,6 +128,9 @@ _TRIGGERS = (
 def _triggered(text: str) -> Iterator[re.Match]:
     """Names behind triggers, in the way a scan with the whole pattern would find them, but from the triggers' places."""
     seen: set[tuple[int, int]] = set()
+    if text.lstrip()[:1] in ("—", "–", "-") and (m := _BEFORE.match(text)):  # a dash leads the text, after any blanks
+        seen.add(m.span("n"))
+        yield m
     for w in _TRIGGERS:
         at = text.find(w)
         while at >= 0:
@@ -129,6 +146,30 @@ def _triggered(text: str) -> Iterator[re.Match]:
 _INSIDE = {"winner,", "Gewinner", "gagnant", "ganador", "vincitore,", "vencedor,", "winnaar,", "обедитель", "просите", "— ", "– ", "- "}
 
 
+_FULL = rf"{_PART}(?: {_INITIAL}){{0,2}} {_PART}"
+#: A titled person, and a person who speaks, anywhere.
+_TITLED = re.compile(rf"(?<![\w-])(?:(?:Mr|Mrs|Ms|Dr|Prof|Sra?|Sig|Dott|Dhr|Mevr)\.?|Herr|Frau|Mme|Mlle|Monsieur|Madame|Señora?|Doña|Signora?|Senhora?|Meneer|Mevrouw|господин|госпожа|Professor|Doctor) (?P<n>{_FULL})(?![\w-])")
+_SAYS = "said|says|told|explained|explains|added|adds|wrote|writes|sagte|sagt|erklärte|erklärt|meinte|meint|a dit|dit|explique|a expliqué|dijo|dice|explicó|ha detto|ha spiegato|disse|diz|explicou|zei|zegt|сказал|сказала|говорит|сообщил|сообщила|объяснил|объяснила".split("|")
+_SPEAKS = re.compile(rf"(?<![\w-])(?P<n>{_FULL})(?= (?:{'|'.join(_SAYS)})\b)")
+_TITLES = ("Mr", "Ms", "Dr", "Prof", "Sr", "Sig", "Dott", "Dhr", "Mev", "Herr", "Frau", "Mme", "Mlle", "Mons", "Mada", "Señor", "Doña", "Senhor", "Mene", "госп", "Doctor")
+
+
+def _again(text: str, names: list[str]) -> Iterator[tuple[int, int]]:
+    """Places where names found elsewhere in the text are written again: as they are, family first, or with an initial."""
+    for name in dict.fromkeys(names):
+        tokens = name.replace(",", "").split()
+        if len(tokens) < 2:
+            continue
+        given, family = (tokens[1:], tokens[0]) if "," in name else (tokens[:-1], tokens[-1])
+        for form in {" ".join([*given, family]), f"{family}, {' '.join(given)}", f"{given[0][0]}. {family}"}:
+            at = text.find(form)
+            while at >= 0:
+                end = at + len(form)
+                if not (at and (text[at - 1].isalnum() or text[at - 1] in "-’'")) and not (end < len(text) and (text[end].isalnum() or text[end] in "-’'")):
+                    yield at, end
+                at = text.find(form, end)
+
+
 _PAREN = re.compile(rf"\((?P<n>{NAME})\)")
 _LABEL = re.compile(r"[\s|•·]*(?:(?:E-?[Mm]ail|Mail|Tel(?:efon|éfono|efone|éphone)?|Phone|Mobile|Mobil|Tfno|Tél|Тел|Address|Adresse|Anschrift|Dirección|Indirizzo|Morada|Adres|Адрес|ID(?:-No)?|National ID|Passport no|DNI|Steuer-ID)\b[.:]* ?:?|[☎→✉<(]|\s)*")
 #: Capitalised words that head lines and notices but are no names.
@@ -156,7 +197,7 @@ def find(text: str | None) -> list[Detail]:
             if _clear(out, a, b):
                 out.append(Detail(a, b, kind, text[a:b]))
     starts = {d.start for d in out}
-    for pattern in (None, *([_AFTER] if any(x in text for x in _AFTER_TAILS) else []), *([_HEAD] if starts else []), *([_PAREN] if "(" in text else [])):
+    for pattern in (None, *([_AFTER] if any(x in text for x in _AFTER_TAILS) else []), *([_HEAD] if starts else []), *([_PAREN] if "(" in text else []), *([_TITLED] if any(x in text for x in _TITLES) else []), *([_SPEAKS] if any(f" {x}" in text for x in _SAYS) else [])):
         for m in _triggered(text) if pattern is None else pattern.finditer(text):
             a, b = m.span("n")
             if not _clear(out, a, b) or _NOT_NAMES.search(m.group("n")):
@@ -166,6 +207,9 @@ def find(text: str | None) -> list[Detail]:
                 if not any(s in starts for s in range(m.end(), after.end() + 1)):
                     continue
             out.append(Detail(a, b, "name", text[a:b]))
+    for a, b in sorted(_again(text, [d.surface for d in out if d.kind == "name"])):
+        if _clear(out, a, b):
+            out.append(Detail(a, b, "name", text[a:b]))
     return sorted(out)
 
 
@@ -183,139 +227,220 @@ def redact(text: str | None, details: list[Detail] | None = None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-_GIVEN = {
-    "f": "Alma Berta Celia Dina Edda Flora Greta Hilda Irma Jutta Karla Lena Mona Nelly Olga Paula Rita Selma Tilda Vera".split(),
-    "m": "Albin Boris Conrad Dirk Emil Fritz Gustav Hugo Ivor Jasper Knut Lorenz Magnus Norbert Otto Piers Ralf Simon Tobias Viktor".split(),
-    "cf": "Алла Вера Галина Дина Елена Жанна Зоя Инна Лидия Майя Нина Ольга Раиса Софья Тамара Фаина Эмма Юлия".split(),
-    "cm": "Антон Борис Виктор Геннадий Денис Ефим Захар Иван Кирилл Леонид Матвей Никита Олег Павел Роман Степан Фёдор Юрий".split(),
-}
-_FAMILY = [a + b for a in ("Ald", "Bran", "Cor", "Dell", "Eng", "Fal", "Gren", "Holt", "Ing", "Kest", "Lind", "Mar", "Nor", "Ost", "Pell", "Rad", "Sand", "Tor", "Vand", "Wes") for b in ("berg", "mark", "ner", "field", "strom", "wick", "ling", "hart", "sen", "mond")]
-_FAMILY_CYR = [a + b for a in ("Бел", "Вет", "Гор", "Дуб", "Зим", "Кал", "Лав", "Мор", "Сад", "Тих") for b in ("инский", "ович", "енко", "ин", "ов", "ицкий")]
-_STREETS = [a + b for a in ("Amber", "Birch", "Cedar", "Ember", "Fern", "Grove", "Hazel", "Iris", "Maple", "Rowan") for b in ("side", "gate", "ford", "dale")]
-_STREETS_CYR = "Садовая Лесная Речная Школьная Новая Солнечная Озёрная Парковая Цветочная Кленовая".split()
+EXCEPTIONS = 2_000  # collisions to be expected at most
+MOST_EXCEPTIONS = 200_000  # rows that may be broadcast; about 20 MB
+_CONSONANTS, _VOWELS = "bdfgklmnprstvwz", "aeiou"
+_CONSONANTS_CYR, _VOWELS_CYR = "бвгдзклмнпрст", "аеиоу"
+_FEMALE = re.compile(r"(?:[aeiyаяиью]|ine|ett|it|uth|ah|eth|iam|men|rid|bel|quel|gail|lyn)$")
+#: Given names against the rule of endings (fixed list).
+_MALE = frozenset("luca andrea nikita ilya joshua noah elijah ezra sasha mika kofi rene jose pablo otto hugo bruno leo theo marco pedro diego mario antonio pietro никита илья лука фома кузьма savva mattia george andre pierre jean guillaume philippe christophe harry tony henry barry jimmy billy rudi toni uwe arne rainer ole".split())
+#: Endings of Russian family names that agree with the gender.
+_ENDING_CYR = re.compile(r"(?:ова|ева|ёва|ина|ская|цкая|ов|ев|ёв|ин|ский|цкий|енко|ич|ая|ый)$")
+_STREET_TAIL = re.compile(r"(?:straße|strasse|str|weg|platz|gasse|allee|ufer|damm|ring|straat|laan|gracht|plein|kade|dijk|steeg)$")
+_STREET_WORDS = re.compile(
+    r"^(?:Street|Road|Lane|Avenue|Terrace|Drive|Close|Way|Court|Square|Place|Boulevard|Row|Hill|Crescent|Gardens|Flat|Apt|Unit|Suite|Calle|Avda|Avenida|Plaza|Pza|Paseo|Camino|Carrera|Rua|Travessa|Praça|Largo|Alameda|Estrada|Via|Viale|Piazza|Corso|Vicolo|Strada|Am|An|Im|In|Zum|Zur|Unter|Auf|Bei|"
+    r"North|South|East|West|St|Rd|Ave|Ln|Blvd|Dr|Ct|Sq|C|R|N|S|E|W)$"
+)
+
+
+class Keyed:
+    """Keyed functions: digits by permutation, words by hash; ``syllables`` is the length of made-up words."""
+
+    def __init__(self, key: bytes, syllables: int = 4, ranks: dict[tuple[str, str], int] | None = None):
+        self.key, self.syllables, self.ranks = key, syllables, ranks or {}
+        self.letters: dict[str, dict[str, str]] = {}
+        self.known: dict[tuple[str, str], str] = {}
+
+    def hash(self, *parts: object) -> int:
+        return int.from_bytes(hmac.new(self.key, "\x1f".join(map(str, parts)).encode("utf-8", "replace"), hashlib.sha256).digest()[:16], "big")
+
+    def digits(self, what: str, n: str) -> str:
+        """A permutation of all digit strings of a length, by ``what``."""
+        if len(n) < 2:
+            return self.letter("digit " + what, n, "0123456789") if n else n
+        cut = len(n) // 2
+        a, b = n[:cut], n[cut:]
+        for turn in range(8):
+            a, b = b, str((int(a) + self.hash(what, turn, len(n), b)) % 10 ** len(a)).zfill(len(a))
+        return a + b
+
+    def number(self, what: str, n: str) -> str:
+        """A permutation of the numbers of a length that do not begin with 0: walks on until there is one."""
+        m = self.digits(what, n)
+        while m[0] == "0" and n[0] != "0":
+            m = self.digits(what, m)
+        return m
+
+    def letter(self, what: str, c: str, alphabet: str) -> str:
+        """A keyed permutation of an alphabet; other characters stay."""
+        if what not in self.letters:
+            order = sorted(alphabet, key=lambda x: self.hash(what, x))
+            self.letters[what] = dict(zip(alphabet, order))
+        return self.letters[what].get(c, c)
+
+    def _spell(self, number: int, n: int, cyrillic: bool) -> str:
+        c, v = (_CONSONANTS_CYR, _VOWELS_CYR) if cyrillic else (_CONSONANTS, _VOWELS)
+        out = ""
+        for _ in range(n):
+            number, k = divmod(number, len(c) * len(v))
+            out += c[k // len(v)] + v[k % len(v)]
+        return out
+
+    def base(self, what: str, part: str) -> str:
+        """The word of a part before the collision check, in lower case."""
+        cyrillic = bool(re.search("[а-яё]", part))
+        alphabet = "абвгдезиклмнопрстуфхэ" if cyrillic else "abcdefghijklmnopqrstuvwyz"
+        plain = unicodedata.normalize("NFD", part[:1])[:1]
+        first = self.letter("initial" + "c" * cyrillic, plain if plain in alphabet else "a" if not cyrillic else "а", alphabet)
+        vowels = "аеиоуэ" if cyrillic else "aeiouy"
+        return first + ("" if first in vowels else vowels[self.hash("vowel", what, part) % 5]) + self._spell(self.hash(what, part), self.syllables, cyrillic)
+
+    def word(self, what: str, part: str) -> str:
+        """The word of a part, with its rank where others have the same word."""
+        have = self.known.get((what, part))
+        if have is None:
+            have, rank = self.base(what, part), self.ranks.get((what, part), 0)
+            if rank:  # one letter more than any base has, then the rank
+                cyrillic = bool(re.search("[а-яё]", part))
+                have += ("к" if cyrillic else "k") + self._spell(rank, max(2, math.ceil(math.log(rank + 1, 60))), cyrillic)
+            if len(self.known) > 200_000:
+                self.known.clear()
+            self.known[what, part] = have
+        return have
+
+
+def _like(model: str, word: str) -> str:
+    return word.upper() if model.isupper() and len(model) > 1 else word.lower() if model.islower() else word[:1].upper() + word[1:]
+
+
+def _name_tokens(surface: str) -> list[tuple[str, str]]:
+    """``(token, role)`` of a name in the order written; roles are given, family, initial and mark."""
+    first_family = "," in surface
+    tokens = re.findall(r"[^\s,]+|,", surface)
+    whole = [t for t in tokens if not t.endswith(".") and t != ","]
+    small = re.compile(r"^(?:van|von|de|der|den|da|di|du|la|le|ter|ten|zu|el)$", re.I)
+    body = [t for t in whole if not small.match(t)] or whole
+    family = body[0] if first_family or len(body) == 1 else body[-1]
+    out = []
+    for t in tokens:
+        role = "mark" if t == "," or (small.match(t) and t not in (family,)) else "initial" if t.endswith(".") else "family" if t == family else "given"
+        out.append((t, role))
+    return out
+
+
+def _stem(part: str) -> tuple[str, str]:
+    """A family name without an ending that agrees with the gender, and that ending."""
+    m = _ENDING_CYR.search(part)
+    return (part[: m.start()], m.group()) if m and m.start() > 1 else (part, "")
+
+
+def parts_of(kind: str, surface: str) -> list[tuple[str, str]]:
+    """``(what, part)`` of a detail's parts that become made-up words."""
+    if kind == "name":
+        out = []
+        for t, role in _name_tokens(surface):
+            for x in t.casefold().split("-") if role in ("given", "family") else ():
+                out.append((role, _stem(x)[0] if role == "family" else x))
+        return out
+    if kind == "email":
+        local, _, host = _email_parts(surface)
+        return [("box", local), ("host", host)]
+    if kind == "street_address":
+        return [("street", w) for _, w in _street_words(surface)]
+    return []
+
+
+def _email_parts(surface: str) -> tuple[str, str, str]:
+    m = re.match(rf"({_LOCAL})( ?(?:@|\[at\]|\(at\)|\{{at\}}|<at>|＠) ?| at )(.+)$", surface, re.I | re.S)
+    local, at, host = m.groups()
+    return local.casefold(), at, re.split(r"\.| ?\[dot\] ?| ?\(dot\) ?| dot ", host, flags=re.I)[0].casefold()
+
+
+def _street_words(surface: str) -> list[tuple[re.Match, str]]:
+    out = []
+    for m in re.finditer(r"[^\W\d_]+", surface):
+        w = m.group()
+        if w[0].isupper() and len(w) > 2 and not _STREET_WORDS.match(w):
+            tail = _STREET_TAIL.search(w)
+            out.append((m, (w[: tail.start()] if tail and tail.start() > 2 else w).casefold()))
+    return out
 
 
 class Surrogates:
-    """Keyed, consistent replacements for the details of one document."""
-
-    def __init__(self, key: bytes, details: list[Detail]):
-        self.key = key
-        self.originals = {d.surface.casefold() for d in details}
-        self.given: dict[tuple, str] = {}
-        self.used: dict[str, str] = {}  # surrogate -> normal form of what it stands for
-
-    def _hash(self, *parts: object) -> int:
-        return int.from_bytes(hmac.new(self.key, "\x1f".join(map(str, parts)).encode("utf-8", "replace"), hashlib.sha256).digest()[:8], "big")
-
-    def _pick(self, what: str, part: str, pool: list[str]) -> str:
-        """An entry of the pool for a part, the same for the same part, another for another part of the document."""
-        have = self.given.get((what, part))
-        if have is not None:
-            return have
-        taken = {v for (w, _), v in self.given.items() if w == what}
-        for n in range(len(pool) + 1):
-            entry = pool[self._hash(what, part, n) % len(pool)]
-            if (entry not in taken and entry.casefold() != part) or n == len(pool):
-                break
-        else:
-            entry = pool[0]
-        if entry in taken:  # the pool is used up: number the entry
-            entry += "abcdefghijklmnopqrstuvwxyz"[self._hash(what, part) % 26] + str(len(taken))
-        self.given[what, part] = entry
-        return entry
-
-    def _case(self, like: str, word: str) -> str:
-        return word.upper() if like.isupper() and len(like) > 1 else word.lower() if like.islower() else word
+    """The surrogates of a corpus under a key."""
+
+    def __init__(self, keyed: Keyed):
+        self.keyed = keyed
 
     def _name(self, surface: str) -> str:
-        first_family = "," in surface
-        tokens = surface.replace(",", "").split()
-        initials = [t for t in tokens if t.endswith(".")]
-        whole = [t for t in tokens if not t.endswith(".")]
-        family = whole[0] if first_family or len(whole) == 1 else whole[-1]
-        given = (whole[1:] if first_family else whole[:-1]) if len(whole) > 1 else []
-        cyr = "c" if re.search("[а-яё]", surface, re.I) else ""
         out = []
-        for t in tokens:
-            if t in initials:
-                out.append(self._pick("given", "initial " + t.casefold(), [c + "." for c in ("АБВГДЕИКЛМНОПРСТ" if cyr else "ABCDEFGHIJKLMNOPRSTUVW")]))
-            elif t in given:
-                gender = "f" if re.search(r"(?:[aeiyаяи]|ine|ett|it)$", t.casefold()) else "m"
-                out.append("-".join(self._case(x, self._pick("given " + cyr + gender, x.casefold(), _GIVEN[cyr + gender])) for x in t.split("-")))
-            else:
-                out.append("-".join(self._case(x, self._pick("family" + cyr, x.casefold(), _FAMILY_CYR if cyr else _FAMILY)) for x in t.split("-")))
-            if first_family and t == family and len(out) == 1:
-                out[-1] += ","
-        return " ".join(out)
-
-    def _digits(self, kind: str, surface: str, n: int, keep: int) -> str:
-        """Digits and letters replaced one for one, the first ``keep`` digits (country or area) and the format kept."""
-        normal = re.sub(r"\W", "", surface).casefold()
-        out, seen = [], 0
-        for k, c in enumerate(surface):
-            if c.isdigit():
-                out.append(c if seen < keep else str(self._hash(kind, normal, n, seen) % 10))
-                seen += 1
-            elif c.isalpha() and kind == "id_number" and k > 1:
-                out.append("ABCDEFGHJKLMNPRSTVWXYZ"[self._hash(kind, normal, n, k) % 22])
-            else:
-                out.append(c)
-        return "".join(out)
-
-    def _email(self, surface: str, n: int) -> str:
-        m = re.match(rf"({_LOCAL})( ?(?:@|\[at\]|\(at\)|\{{at\}}|<at>|＠) ?| at )(.+)$", surface, re.I | re.S)
-        local, at, host = m.groups()
-        normal = re.sub(r"\s", "", surface).casefold()
-        words = [self._case(w, _FAMILY[self._hash("email", normal, n, k) % len(_FAMILY)].lower()) for k, w in enumerate(re.findall(r"[^\W\d_]+", local)[:2])]
-        sep = (re.findall(r"[._+-]", local) or [""])[0]
-        tail = "".join(str(self._hash("email", normal, n, "d", k) % 10) for k, _ in enumerate(re.findall(r"\d", local)))
-        dots = re.split(r"(\.| ?\[dot\] ?| ?\(dot\) ?| dot )", host)
-        dots[0] = self._case(dots[0], _STREETS[self._hash("host", dots[0].casefold(), n) % len(_STREETS)].lower() + "-mail")
-        return (sep.join(words) or "box") + tail + at + "".join(dots)
-
-    def _address(self, surface: str, n: int) -> str:
-        normal = " ".join(surface.split()).casefold()
-        cyr = bool(re.search("[а-яё]{3}", surface, re.I))
-        kinds = r"^(?:Street|Road|Lane|Avenue|Terrace|Drive|Close|Way|Court|Square|Place|Boulevard|Row|Hill|Crescent|Gardens|Flat|Apt|Unit|Suite|Calle|Avda|Avenida|Plaza|Paseo|Rua|Travessa|Praça|Largo|Via|Viale|Piazza|Corso|Vicolo|Am|An|Im|In|Zum|Zur|Unter|Auf|Bei|North|South|East|West|St|Rd|Ave|C|R|N|S|E|W)$"
-
-        def swap(m: re.Match) -> str:
-            w = m.group()
-            if w.isdigit():
-                return str(1 + self._hash("house", normal, n, w) % 199)
-            if re.match(kinds, w) or not w[0].isupper() or len(w) < 3:
-                return w
-            tail = re.search(r"(?:straße|strasse|str|weg|platz|gasse|allee|ufer|damm|ring|straat|laan|gracht|plein|kade|dijk|steeg)$", w)
-            pool = _STREETS_CYR if cyr else _STREETS
-            return pool[self._hash("street", w.casefold(), n) % len(pool)] + (tail.group() if tail else "")
-
-        return re.sub(r"[^\W_]+", lambda m: re.sub(r"\d+|[^\d]+", swap, m.group()), surface)
-
-    def of(self, d: Detail) -> str:
-        normal = d.kind + " " + (" ".join(sorted(re.findall(r"\w+", d.surface.casefold()))) if d.kind == "name" else re.sub(r"\W", "", d.surface).casefold())
-        for n in range(64):
-            if d.kind == "name":
-                new = self._name(d.surface) + (" " + "IVX"[n % 3] * (1 + n // 3) if n else "")
-            elif d.kind == "email":
-                new = self._email(d.surface, n)
-            elif d.kind == "street_address":
-                new = self._address(d.surface, n)
-            else:
-                digits = sum(map(str.isdigit, d.surface))
-                new = self._digits(d.kind, d.surface, n, min(3, digits - 4) if d.kind == "phone" else 0)
-            if new.casefold() not in self.originals and self.used.setdefault(new, normal) == normal:
-                return new
-        return f"[{d.kind.upper()}]"
-
-
-def disguise(text: str | None, key: bytes, details: list[Detail] | None = None) -> str | None:
+        for t, role in _name_tokens(surface):
+            if role == "mark":
+                out.append(t)
+                continue
+            if role == "initial":
+                low, cyrillic = t[0].casefold(), "\u0400" <= t[0] <= "\u04ff"
+                out.append(self.keyed.base("given", low)[0].upper() + "." if len(t) == 2 or not cyrillic else t)
+                continue
+            new = []
+            for x in t.split("-"):
+                low = x.casefold()
+                if role == "given":
+                    w = self.keyed.word("given", low)
+                    female = bool(_FEMALE.search(low)) and low not in _MALE
+                    w += ("на" if female else "н") if "\u0400" <= low[0] <= "\u04ff" else ("na" if female else "n")
+                else:
+                    stem, ending = _stem(low)
+                    w = self.keyed.word("family", stem) + ending
+                new.append(_like(x, w))
+            out.append("-".join(new))
+        return " ".join(out).replace(" ,", ",")
+
+    def _number(self, kind: str, surface: str, keep: int) -> str:
+        """Digits after the first ``keep`` (country or area) and letters replaced one for one; the format stays."""
+        found = "".join(c for c in surface if c.isdigit() and c.isascii())
+        moved = found[:keep] + self.keyed.digits(f"{kind} {found[:keep]}", found[keep:])
+        it = iter(moved)
+        return "".join(next(it) if c.isdigit() and c.isascii() else self.keyed.letter(f"{kind} {k}", c, "ABCDEFGHJKLMNPRSTVWXYZ") if kind == "id_number" and k > 1 else c for k, c in enumerate(surface))
+
+    def _email(self, surface: str) -> str:
+        local, at, host = _email_parts(surface)
+        word, home = self.keyed.word("box", local), self.keyed.word("host", host)
+        rest = surface[len(local) + len(at) :]
+        marks = re.findall(r"[._+-]", local)
+        if marks and len(word) > 5:
+            word = word[:3] + marks[0] + word[3:]
+        own = surface[: len(local)]
+        return _like(own, word) if own.isupper() else word, at, home + "-mail", rest[len(host) :]
+
+    def _address(self, surface: str) -> str:
+        out, at = [], 0
+        words = _street_words(surface)
+        street = " ".join(w for _, w in words)
+        for m, w in words:
+            out += [surface[at : m.start()], _like(m.group(), self.keyed.word("street", w) + m.group()[len(w) :].lower())]
+            at = m.end()
+        out.append(surface[at:])
+        return re.sub(r"\d+", lambda m: self.keyed.number("house " + street, m.group()), "".join(out))
+
+    def of(self, kind: str, surface: str) -> str:
+        if kind == "name":
+            return self._name(surface)
+        if kind == "email":
+            return "".join(self._email(surface))
+        if kind == "street_address":
+            return self._address(surface)
+        digits = sum(c.isdigit() and c.isascii() for c in surface)
+        return self._number(kind, surface, max(0, min(4, digits - 6)) if kind == "phone" else 0)
+
+
+def disguise(text: str | None, made: Surrogates, details: list[Detail] | None = None) -> str | None:
     """The text with each detail replaced by its surrogate."""
     if not text:
         return text
-    details = find(text) if details is None else details
-    made = Surrogates(key, details)
     out, at = [], 0
-    for d in details:
-        out += [text[at : d.start], made.of(d)]
+    for d in find(text) if details is None else details:
+        out += [text[at : d.start], made.of(d.kind, d.surface)]
         at = d.end
     return "".join([*out, text[at:]])
 
@@ -341,17 +466,57 @@ def find_details(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return src.mapInArrow(run, "doc_id bigint, start int, end int, kind string, surface string")
 
 
+def exceptions(details: DataFrame, key: bytes, syllables: int) -> DataFrame:
+    """``(what, part, rank)`` of parts whose word others have too, by a grouped check of all distinct parts of the corpus."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [p for kind, surface in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p in parts_of(kind, surface)]
+            columns = list(zip(*rows)) if rows else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], names=["what", "part"])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keyed = Keyed(key, syllables)
+        for b in batches:
+            words = [keyed.base(what, part) for what, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, pa.string())], names=["what", "part", "word"])
+
+    distinct = details.select("kind", "surface").distinct()
+    parts = distinct.mapInArrow(spread, "what string, part string").distinct()
+    words = parts.mapInArrow(spell, "what string, part string, word string")
+    # words that really exist come first in their group, so that nobody gets them
+    real = parts.select("what", F.lit(None).cast("string").alias("part"), F.col("part").alias("word"))
+    alike = words.unionByName(real).withColumn("n", F.count("*").over(Window.partitionBy("what", "word"))).where("n > 1")
+    ranked = alike.withColumn("rank", F.row_number().over(Window.partitionBy("what", "word").orderBy(F.col("part").asc_nulls_first())) - 1)
+    return ranked.where("part is not null and rank > 0").select("what", "part", "rank")
+
+
+def keyed_for(details: DataFrame, key: bytes) -> Keyed:
+    """The keyed functions of a corpus: enough syllables for its distinct details, and its few exceptions."""
+    n = max(2, details.select(F.approx_count_distinct(F.xxhash64("kind", "surface"))).first()[0] * 2)
+    syllables = max(4, math.ceil(math.log(n * n / (2 * EXCEPTIONS), len(_CONSONANTS_CYR) * len(_VOWELS_CYR))) if n * n > 2 * EXCEPTIONS else 4)
+    few = exceptions(details, key, syllables).limit(MOST_EXCEPTIONS + 1).collect()
+    if len(few) > MOST_EXCEPTIONS:
+        raise RuntimeError("more collisions than can be broadcast: choose another key")
+    return Keyed(key, syllables, {(r.what, r.part): r.rank for r in few})
+
+
 def replace_details(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes | None = None) -> DataFrame:
     """``(doc_id, n_details, text)`` of every row: placeholders, or surrogates if there is a key."""
     src = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    shared = None
+    if key is not None:
+        keyed = keyed_for(cut(find_details(df, id_col, text_col).select("kind", "surface")), key)
+        shared = df.sparkSession.sparkContext.broadcast((keyed.key, keyed.syllables, keyed.ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Surrogates(Keyed(*shared.value)) if shared is not None else None
         for b in batches:
             counts, texts = [], []
             for t in b.column(1).to_pylist():
                 details = find(t)
                 counts.append(len(details))
-                texts.append(redact(t, details) if key is None else disguise(t, key, details))
+                texts.append(redact(t, details) if made is None else disguise(t, made, details))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int32()), pa.array(texts, pa.string())], names=["doc_id", "n_details", "text"])
 
     return src.mapInArrow(run, "doc_id bigint, n_details int, text string")

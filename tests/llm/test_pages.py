@@ -35,6 +35,54 @@ def test_held_out_pages(samples, common, chain):
     assert (chain.decode(x, b.doc, b.n_docs) == B._labels(b, pages, pieces)).mean() > 0.95
 
 
+#: Furniture in two languages that no list of the package holds.
+SWEDISH = {
+    "nav": "Hem|Om oss|Kontakt oss|Produkter|Tjänster|Sök|Nyheter|Evenemang|Hjälp|Butik|Logga in|Arkiv|Varukorg|Platskarta|Villkor|Integritet|Till toppen|Inställningar",
+    "notices": ("Vi sparar små filer för att ge dig bästa service.| Godkänn alla | Inställningar", "Den här sidan lagrar uppgifter om dig.| Läs mer"), "prompts": "Dela den här sidan;Annons;Skriv ut sidan;Prenumerera på vårt nyhetsbrev;Kommentarer (7);Hoppa till innehållet",
+    "sides": "Liknande artiklar;Mest lästa;Senaste nytt", "footers": "{n} AB, alla rättigheter förbehållna.| Integritet | Villkor;Till toppen – Platskarta – Villkor;Följ oss   Nyhetsbrev   Tillgänglighet",
+}
+POLISH = {
+    "nav": "Strona główna|O nas|Oferta|Usługi|Szukaj|Aktualności|Wydarzenia|Pomoc|Sklep|Zaloguj|Archiwum|Koszyk|Mapa strony|Regulamin|Prywatność|Do góry|Ustawienia",
+    "notices": ("Zapisujemy małe pliki, aby poprawić usługi.| Akceptuj wszystko | Ustawienia", "Ta strona zapisuje dane o tobie.| Dowiedz się więcej"), "prompts": "Udostępnij tę stronę;Ogłoszenie;Drukuj stronę;Zapisz się do biuletynu;Komentarze (7);Przejdź do treści",
+    "sides": "Podobne artykuły;Najczęściej czytane;Ostatnie wpisy", "footers": "{n}, wszelkie prawa zastrzeżone.| Prywatność | Regulamin;Do góry – Mapa strony – Regulamin;Obserwuj nas   Biuletyn   Dostępność",
+}
+
+
+def held_out(samples, common, chain, words, html):
+    """Recall and precision on furniture blocks of pages whose furniture is in another language."""
+    pages, pieces, titles = B.compose(samples, 300, 77, {k: dict.fromkeys({lang for lang, _ in samples}, v) for k, v in words.items()})
+    whole = [k for k, p in enumerate(pages) if "\n" in p]  # a page of one line is cut into blocks by its words
+    pages, pieces, titles = ([x[k] for k in whole] for x in (pages, pieces, titles))
+    pages = B.as_html(pages, pieces, 1.0) if html else pages
+    b = Blocks(pa.array(pages), pa.array(titles))
+    x, _ = B.features(b, common, pa.array(titles))
+    y, got = B._labels(b, pages, pieces), chain.decode(x, b.doc, b.n_docs)
+    return (got[y == 1] == 1).mean(), (y[got == 1] == 1).mean()
+
+
+@pytest.mark.parametrize("words", [SWEDISH, POLISH])
+def test_furniture_in_languages_of_no_list(samples, common, chain, words):
+    plain, boxed = held_out(samples, common, chain, words, False), held_out(samples, common, chain, words, True)
+    print(plain, boxed)
+    assert plain[0] > 0.45 and plain[1] > 0.9 and boxed[0] > 0.75 and boxed[1] > 0.9
+    listed_only = B.train(samples, common, hidden=0.0)
+    assert held_out(samples, common, listed_only, words, False)[0] < plain[0] - 0.15  # hiding the lists in training is what finds them
+
+
+def test_html_bodies(spark, small):
+    import re
+
+    from tidewrack.llm.queries import QUERIES
+
+    got = {r.id: r.body for r in QUERIES["p3_html_bodies"](spark, small).collect()}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").where("text is not null").collect()}
+    assert got.keys() == docs.keys()
+    fold = lambda t: re.sub(r"\W+", "", t)
+    assert np.mean([any(w in b for w in ("Departments", "Timetables", "Elsewhere", "Boats and people", "Harbour office")) for b in got.values()]) < 0.05
+    kept = [fold(docs[i])[:200] in fold(b) for i, b in got.items() if len(docs[i]) > 200 and docs[i].isascii()]
+    assert np.mean(kept) > 0.8
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(4)
     for n in range(1, 7):

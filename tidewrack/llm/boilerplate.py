@@ -4,7 +4,9 @@ States are body (0) and furniture (1). A block's features come from its text, it
 input, its ancestor tags. The weights are fitted by gradient ascent on the conditional log likelihood of labelled pages;
 decoding is Viterbi, over all pages of a batch at once. Labelled pages are composed on the driver, with a fixed seed,
 from the clean sentences of ``lang_samples`` (a table of bounded size) and the vocabulary of :mod:`furniture`: menus,
-breadcrumbs, notices, side columns and footers around paragraphs, headings, lists, tables and code.
+breadcrumbs, notices, side columns and footers around paragraphs, headings, lists, tables and code; a quarter of them as
+HTML. In half of them the lists of phrases say nothing, so that furniture of other words is told by shape, place and
+neighbours.
 
 Work is done page by page within Arrow batches: no shuffle, and only the model (about 80 numbers) is broadcast.
 
@@ -28,6 +30,7 @@ from .furniture import COOKIE, FOOTER, HEADING, NAV, NAV_ANY, PROMPT_ANY, SEPARA
 
 TRAIN_PAGES = 900
 ROUNDS = 260
+HIDDEN = 0.5  # share of training pages whose furniture is on no list
 NEAR = 4  # blocks on either side that neighbour features look at
 _SLAB = 4000  # pages worked on at a time
 
@@ -36,9 +39,15 @@ FEATURES = (
     "few words", "some words", "many words", "sentence", "title-like", "short question", "first", "last", "early", "late", "after entry", "before entry",
     "near entries", "after heading", "in side list", "own title", "many separators", "digits", "code", "bulleted", "row-like", "boxed tag", "body tag", "after cookie", "after ad or prompt",
     "long without end", "no common word", "last after sentence", "very long without end", "only block", "long without common word", "long in signs", "page of equal starts", "title-like without sentences",
+    "menu-shaped", "in a short run", "after menu-shaped",
 )
 
 
+_ITEM = r"\p{Lu}[\p{L}'’-]*(?: [\p{L}'’-]+){0,3}"
+#: Short capitalised items between separators or wide gaps, whatever they say.
+_MENU_SHAPED = rf"^{_ITEM}(?:(?:\s*[|·•»›>/]\s*|\s+[–—-]\s+|\s{{2,}}){_ITEM}){{2,}}$"
+
+
 def _shift(x: np.ndarray, doc: np.ndarray, by: int) -> np.ndarray:
     """The value ``by`` blocks back (or ahead if negative) in the same page, else False."""
     out = np.zeros_like(x)
@@ -98,13 +107,16 @@ def features(b: Blocks, common: CommonWords, titles: pa.Array | None, shape: dic
     np.maximum.at(most, pairs // (n + 1), times)
     alike = (most[doc] >= 5) & (most[doc] * 2 >= size)
     prose = b.sum_by_doc(s["sentence"] & ~cookie & ~footer)[doc] > 0
+    shaped = b.has(_MENU_SHAPED)
+    short = (words >= 1) & (words <= 3) & ~s["ended"] & s["upper"] & (s["lettered"] > 0.9) & ~s["code"]
+    run = short & (sum(_shift(short, doc, k).astype(np.int64) for k in (-2, -1, 1, 2)) >= 2)
     columns = [
         np.ones(n, bool), entry, separator, led, trailed, prompt, heading, cookie, footer, s["ended"], words <= 1, (words >= 2) & (words <= 3), (words >= 4) & (words <= 9),
         words >= 10, s["sentence"], title_like, question, first, last, place < 3, size - place <= 3, _shift(menu, doc, 1), _shift(menu, doc, -1), near >= 3, _shift(heading, doc, 1), side, own, many_sep,
         letters_few, s["code"], bulleted, row, boxed, body, _shift(cookie, doc, 1), _shift(prompt, doc, 1), (words >= 8) & ~s["ended"], s["frequent"] == 0,
         last & ~s["ended"] & _shift(s["sentence"], doc, 1) & ~entry & ~prompt & ~footer & (words >= 2), (s["chars"] >= 130) & ~s["ended"], first & last,
         (s["chars"] >= 90) & (s["frequent"] == 0) & ~cookie & ~footer, (s["chars"] >= 50) & letters_few & ~footer,
-        alike & ~entry & ~prompt & ~cookie & ~footer, title_like & ~prose & ~entry,
+        alike & ~entry & ~prompt & ~cookie & ~footer, title_like & ~prose & ~entry, shaped, run, _shift(shaped, doc, 1),
     ]
     return np.column_stack(columns).astype(np.float32) if n else np.zeros((0, len(FEATURES)), np.float32), s
 
@@ -230,15 +242,21 @@ _TRAPS = (
 )
 
 
-def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11) -> tuple[list[str], list[list[tuple[str, int]]], list[str]]:
+#: Furniture by kind and language that pages are composed with.
+VOCABULARY = {"nav": NAV, "notices": _NOTICES, "prompts": _PROMPTS, "sides": _SIDES, "footers": _FOOTERS}
+
+
+def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11, vocabulary: dict[str, dict] = VOCABULARY) -> tuple[list[str], list[list[tuple[str, int]]], list[str]]:
     """Labelled pages: text, labelled pieces in order, and title. ``samples`` are (language, clean text)."""
     import re
 
+    menus, notices, prompts, sides, footers = (vocabulary[k] for k in ("nav", "notices", "prompts", "sides", "footers"))
+
     rng = random.Random(seed)
     sentences: dict[str, list[str]] = {}
     for lang, text in samples:
         sentences.setdefault(lang, []).extend(s.strip() for s in re.split(r"(?<=[.!?…])\s+", text or "") if len(s.split()) > 3)
-    langs = sorted(set(sentences) & set(NAV))
+    langs = sorted(set(sentences) & set(menus))
     pages, labels, titles = [], [], []
 
     def title(lang: str) -> str:
@@ -278,13 +296,13 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
 
     for _ in range(n):
         lang = rng.choice(langs)
-        nav = NAV[lang].split("|")
+        nav = menus[lang].split("|")
         name = "".join(rng.choices("abcdelmnorst", k=6)).title() + " " + rng.choice(["Post", "Guide", "Journal"])
         head = title(lang)
         lines: list[list[tuple[str, int]]] = []
         furnished = rng.random() < 0.75
         if furnished and rng.random() < 0.5:
-            lines.append([(p.strip(), 1) for p in rng.choice(_NOTICES[lang]).split("|", 1)])
+            lines.append([(p.strip(), 1) for p in rng.choice(notices[lang]).split("|", 1)])
         if furnished and rng.random() < 0.6:
             items = rng.sample(nav, min(len(nav), rng.randint(3, 9)))
             if rng.random() < 0.25:
@@ -307,18 +325,18 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
                 pool.append(rng.choice(_TRAPS))
             lines.append([(" ".join(pool), 0)])
             if furnished and rng.random() < 0.25:
-                lines.append([(rng.choice(_PROMPTS[lang].split(";")), 1)])
+                lines.append([(rng.choice(prompts[lang].split(";")), 1)])
                 if rng.random() < 0.4:
                     lines += [[(title(lang), 1)] for _ in range(rng.randint(1, 4))]
             if furnished and rng.random() < 0.2:
-                lines.append([(rng.choice(_SIDES[lang].split(";")), 1)])
+                lines.append([(rng.choice(sides[lang].split(";")), 1)])
                 lines += [[(title(lang), 1)] for _ in range(rng.randint(0, 4))]
         if furnished and rng.random() < 0.6:
             if rng.random() < 0.3:
-                lines.append([(rng.choice(_PROMPTS[lang].split(";")), 1)])
-            lines.append([(p.strip(), 1) for p in rng.choice(_FOOTERS[lang].split(";")).replace("{n}", name).split("|", 1)])
+                lines.append([(rng.choice(prompts[lang].split(";")), 1)])
+            lines.append([(p.strip(), 1) for p in rng.choice(footers[lang].split(";")).replace("{n}", name).split("|", 1)])
         elif furnished and rng.random() < 0.4:
-            lines.append([(rng.choice(_PROMPTS[lang].split(";")), 1)])
+            lines.append([(rng.choice(prompts[lang].split(";")), 1)])
         if rng.random() < 0.3:  # cut off at a length, as crawlers do
             while len(lines) > 2 and (len(lines[-1]) > 1 or lines[-1][0][1] == 1):
                 lines.pop()
@@ -333,6 +351,24 @@ def compose(samples: list[tuple[str, str]], n: int = TRAIN_PAGES, seed: int = 11
     return pages, labels, titles
 
 
+def as_html(pages: list[str], pieces: list[list[tuple[str, int]]], share: float = 0.25, seed: int = 3) -> list[str]:
+    """A share of composed pages as HTML; its boxes are mostly, but not always, those that fit."""
+    rng = random.Random(seed)
+    out = []
+    for page, own in zip(pages, pieces):
+        if rng.random() >= share or any("<" in t or "&" in t for t, _ in own):
+            out.append(page)
+            continue
+        html = ["<html><body>"]
+        for t, label in own:
+            box = rng.choice(["nav", "header", "aside", "footer", "form", "nav"]) if label else rng.choice(["article", "main", "article"])
+            box = rng.choice(["div", "section"]) if rng.random() < 0.25 else box
+            leaf = rng.choice(["a", "li", "span"]) if label else "p" if len(t) > 60 else rng.choice(["h1", "p", "span"])
+            html.append(f"<{box}><{leaf}>{t}</{leaf}></{box}>")
+        out.append("".join([*html, "</body></html>"]))
+    return out
+
+
 def _labels(b: Blocks, pages: list[str], pieces: list[list[tuple[str, int]]]) -> np.ndarray:
     """The label of the piece that holds the middle of each block."""
     y = np.zeros(len(b), dtype=np.int64)
@@ -354,12 +390,28 @@ def _labels(b: Blocks, pages: list[str], pieces: list[list[tuple[str, int]]]) ->
     return y
 
 
-def train(samples: list[tuple[str, str]], common: CommonWords, n: int = TRAIN_PAGES, seed: int = 11) -> Chain:
-    """Fit the chain on composed pages."""
+#: Features that say that a block is on a list of phrases; a notice in a whole sentence can be told by its words only, so those of notices and footers stay.
+LISTED = [FEATURES.index(k) for k in ("entry", "prompt", "heading")]
+
+
+def unlisted(x: np.ndarray, b: Blocks, near: bool = True) -> np.ndarray:
+    """The features as they are for furniture that no list holds: what the lists say of a block and of its neighbours is gone."""
+    x = x.copy()
+    x[:, LISTED] = 0
+    if near:
+        x[:, [FEATURES.index(k) for k in ("after entry", "before entry", "near entries", "after heading", "after cookie", "after ad or prompt")]] = 0
+    return x
+
+
+def train(samples: list[tuple[str, str]], common: CommonWords, n: int = TRAIN_PAGES, seed: int = 11, hidden: float = HIDDEN) -> Chain:
+    """Fit the chain on composed pages; in a share of ``hidden`` of them the lists of phrases say nothing, so that shape, place and neighbours must."""
     pages, pieces, titles = compose(samples, n, seed)
+    pages = as_html(pages, pieces)
     b = Blocks(pa.array(pages, pa.string()), pa.array(titles, pa.string()))
     x, _ = features(b, common, pa.array(titles, pa.string()))
-    return fit(x, b.doc, _labels(b, pages, pieces))
+    rng = np.random.default_rng(seed)
+    blind = (rng.random(b.n_docs) < hidden)[b.doc]
+    return fit(np.where(blind[:, None], unlisted(x, b), x), b.doc, _labels(b, pages, pieces))
 
 
 def tag(pages: pa.Array, titles: pa.Array | None, chain: Chain, common: CommonWords) -> tuple[Blocks, np.ndarray, dict[str, np.ndarray]]:

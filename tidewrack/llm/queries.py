@@ -72,6 +72,19 @@ def p3_bodies(spark: SparkSession, d: str) -> DataFrame:
     return raw.unionByName(boilerplate.main_bodies(table(spark, d, "crawled_docs"), "crawled_docs", "crawl_id", "text", "t", *model))
 
 
+@query
+def p3_html_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The main body of HTML pages: every document in an article element, amid boxes whose words are on no list of phrases."""
+    text = F.regexp_replace(F.regexp_replace(F.col("text"), "&", "&amp;"), "<", "&lt;")
+    title = F.regexp_replace(F.regexp_replace(F.coalesce("title", F.lit("")), "&", "&amp;"), "<", "&lt;")
+    page = F.concat(
+        F.lit("<html><head><title>"), title, F.lit("</title><script>var a = 1;</script></head><body><header><a>Overview</a><a>Departments</a></header><nav><ul><li><a>Our harbour</a></li><li><a>Timetables</a></li></ul></nav><article><h1>"),
+        title, F.lit("</h1><p>"), F.regexp_replace(text, r"[\r\n]+", "</p><p>"), F.lit("</p></article><aside><h2>Elsewhere</h2><a>Boats and people</a></aside><footer><p>Harbour office, quay 3</p></footer></body></html>"),
+    )
+    pages = table(spark, d, "documents").where("text is not null").select("doc_id", page.alias("page"), "title")
+    return boilerplate.main_bodies(pages, "documents", "doc_id", "page", "title", *_chain(spark, d))
+
+
 def _p5_statistics(spark: SparkSession, d: str) -> DataFrame:
     """Statistics of all pages, written once to the shared checkpoint folder as two passes read them."""
     model = _chain(spark, d)

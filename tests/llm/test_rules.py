@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tidewrack.llm import pii, residue, toxicity
@@ -211,3 +212,32 @@ def test_toxicity_operator(spark):
     r = {(x.level, x.src or x.host): x.records for x in toxicity.rates(s).collect()}
     assert r[("src", "src")] == 200 and r[("host", "h.example.org")] == 200
     assert toxicity.score(rec, toxicity.train([])).where("score > 0").count() == 0
+
+
+def test_groups_are_whole_words_and_all_units_that_name_one_are_swapped(monkeypatch):
+    assert toxicity.mentioning(["The allotment of Menschen", "Men sing.", "«men»", "women"], ["men"]) == [False, True, True, False]
+    rows = [(None, None, f"The women of house {k} sing.", 0) for k in range(4300)] + [(None, None, f"The women of house {k} are filthy vermin and scum.", 1) for k in range(300)]
+    seen, fit = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda *a: seen.append({m for *_, m in a[4]}) or fit(*a[:6], 1, *a[7:]))
+    toxicity.train(rows, rounds=1, epochs=1)
+    assert min(seen[0]) >= 4300  # the units of sound records alone are more than 4,000
+
+
+def test_the_swap_penalty_evens_scores_of_group_names():
+    """Neutral sentences differ less by the group they name, and none is taken for abuse."""
+    rng = random.Random(3)
+    names = ["Women", "Muslims", "Jews", "Poles", "Gays", "Refugees", "Turks", "Christians"]
+    rows = []
+    for k in range(600):
+        n = names[k % 3] if k % 2 else names[3 + k % 5]  # three groups are abused more than others
+        y = int(rng.random() < (0.6 if n in names[:3] else 0.1))
+        rows.append((None, None, f"{rng.choice(['The mill was painted.', 'It rains.'])} {n} {'are vermin and scum' if y else rng.choice(['brought songs to the town', 'live in the valley', 'opened a bakery'])}.", y))
+    score = lambda m, texts: toxicity.score_batch([None] * len(texts), [None] * len(texts), texts, m, toxicity.Hasher())
+    neutral = [f"{n} painted the old boat in spring." for n in names]
+    spread = {}
+    for penalty in (0.0, toxicity.SWAP_PENALTY):
+        p = score(toxicity.train(rows, penalty=penalty), neutral)
+        z = [float(x) for x in np.log(p / (1 - p))]
+        spread[penalty] = max(z) - min(z)
+        assert penalty == 0.0 or max(p) < toxicity.THRESHOLD
+    assert spread[toxicity.SWAP_PENALTY] < 0.6 * spread[0.0]

@@ -8,8 +8,8 @@ Training sees labelled records only, at most ``MOST_LABELLED`` of them (a docume
 Labels hold for records, so each round takes the units of sound records and the worst unit of toxic ones. Annotators who
 disagree are outvoted, ties are left out, and after a round labels that the model contradicts outright are left out.
 
-Counterfactual regularisation: group names are swapped for each other and for a neutral word in the labelled units, and
-the squared change of the score is penalised with ``SWAP_PENALTY``, so that a mere mention of a group does not count.
+Counterfactual regularisation: group names (whole words) are swapped for each other and for a neutral word in all labelled
+units that hold one, and the squared change of the score is penalised with ``SWAP_PENALTY``, so that a mere mention of a group does not count.
 Group names are a parameter; in addition names that stand in labelled toxic units in the plural or after articles are
 taken from the data.
 
@@ -179,7 +179,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _fit(ids: np.ndarray, own: np.ndarray, y: np.ndarray, weight: np.ndarray, swaps: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]], start: Model, epochs: int) -> Model:
+def _fit(ids: np.ndarray, own: np.ndarray, y: np.ndarray, weight: np.ndarray, swaps: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]], start: Model, epochs: int, penalty: float = SWAP_PENALTY) -> Model:
     """Full-batch Adagrad on log loss, ridge and the swap penalty."""
     n = len(y)
     w, b = start.weights.copy(), start.bias
@@ -195,7 +195,7 @@ def _fit(ids: np.ndarray, own: np.ndarray, y: np.ndarray, weight: np.ndarray, sw
             sa = 1.0 / np.sqrt(np.maximum(1, np.bincount(oa, minlength=m)))
             sb = 1.0 / np.sqrt(np.maximum(1, np.bincount(ob, minlength=m)))
             change = np.bincount(oa, w[ia], m) * sa - np.bincount(ob, w[ib], m) * sb
-            k = 2 * SWAP_PENALTY * change / (m * len(swaps))
+            k = 2 * penalty * change / (m * len(swaps))
             grad += np.bincount(ia, (k * sa)[oa], DIMS) - np.bincount(ib, (k * sb)[ob], DIMS)
         g2 += grad * grad
         gb2 += gb * gb
@@ -216,7 +216,13 @@ def discover_groups(units: list[str], toxic: np.ndarray) -> list[str]:
     return [w.lower() for w, n in docs.items() if n >= 3 and len(w) > 3 and lower[w.lower()] <= 1 and n >= 0.25 * seen[w]]
 
 
-def train(rows: list[tuple[str | None, str | None, str | None, int]], terms: tuple[str, ...] = tuple(IDENTITY_TERMS), rounds: int = ROUNDS, epochs: int = EPOCHS) -> Model:
+def mentioning(units: list[str], groups: list[str]) -> list[bool]:
+    """Which units hold the name of a group as a whole word."""
+    names = set(groups)
+    return [not names.isdisjoint(re.findall(r"[^\W\d_]+", u.lower())) for u in units]
+
+
+def train(rows: list[tuple[str | None, str | None, str | None, int]], terms: tuple[str, ...] = tuple(IDENTITY_TERMS), rounds: int = ROUNDS, epochs: int = EPOCHS, penalty: float = SWAP_PENALTY) -> Model:
     """Fit on labelled records ``(url, title, text, toxic)``."""
     empty = Model(np.zeros(DIMS), -30.0)
     if not any(r[3] for r in rows) or all(r[3] for r in rows):
@@ -238,6 +244,7 @@ def train(rows: list[tuple[str | None, str | None, str | None, int]], terms: tup
     odds[pos + neg < 2] = 0
     model = Model(odds, -2.0)
     groups = sorted({*terms, *discover_groups(units, label[doc_of] == 1)})
+    mentions = mentioning(units, groups)
     keep = np.ones(len(rows), dtype=bool)
     # less one standard error, so that a few chance labels say little
     safe = np.where(odds > 0, np.maximum(0, odds - np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))), odds)
@@ -263,7 +270,7 @@ def train(rows: list[tuple[str | None, str | None, str | None, int]], terms: tup
         y = label[doc_of[at]].astype(np.float64)
         weight = np.where(y == 1, max(1.0, POSITIVE_SHARE * (y == 0).sum() / max(1, y.sum())), 1.0)
         swaps = []
-        named = [k for k in at.tolist() if any(g in units[k].lower() for g in groups)][:4000]
+        named = [k for k in at.tolist() if mentions[k]]
         if named:
             texts = [units[k] for k in named]
             a_ids, a_own = Hasher().rows(texts)
@@ -271,7 +278,7 @@ def train(rows: list[tuple[str | None, str | None, str | None, int]], terms: tup
                 other = {g: groups[(k + shift) % len(groups)] for k, g in enumerate(groups)}
                 swaps.append((a_ids, a_own, *Hasher(other).rows(texts), len(texts)))
             swaps.append((a_ids, a_own, *Hasher(dict.fromkeys(groups, NEUTRAL)).rows(texts), len(texts)))
-        model = _fit(ids[hit], new[own[hit]], y, weight, swaps, Model(np.zeros(DIMS), -1.0), epochs)
+        model = _fit(ids[hit], new[own[hit]], y, weight, swaps, Model(np.zeros(DIMS), -1.0), epochs, penalty)
         z = model.logits(ids, own, n)
         best = np.full(len(rows), -np.inf)
         np.maximum.at(best, doc_of, z)

@@ -85,3 +85,18 @@ def test_a_mapping_taken_once_is_tested_in_the_whole_field():
     m = model()
     at = seen.index("BrÃ¼cke")
     assert M.restore(seen, m, [(at + 2, at + 4)])[:2] == (text, 1 + sum(c > "\x7f" for c in text) - 1)
+
+
+@pytest.mark.parametrize("t", ["но", "дорога", "Никто не знал"])
+def test_one_byte_swaps_of_any_length(t):
+    """From two letters on, whatever share of the run they are; one letter alone is a matter of chance."""
+    for seen, meant in (("cp1251", "koi8-r"), ("latin-1", "cp1251"), ("cp1252", "cp1251")):
+        assert M.restore(f"{t}".encode(meant).decode(seen), model())[0] == t
+    assert M.restore("é", model())[1] == 0
+
+
+def test_losses_count_inside_improbable_runs():
+    m = model(["x�y"] * 5000)  # however many there are
+    assert M.restore("caf� and th�", m)[2] == 2 and M.restore("Où va la rivière ?", m)[2] == 0
+    seen = "The cafÃ� costs"
+    assert M.restore(seen, model())[1:] == (0, M.restore(seen, model())[2]) and M.restore(seen, model())[2] >= 1

@@ -12,7 +12,8 @@
    candidate with the highest log probability of its pairs is taken if it beats the run by ``GAIN`` as a whole and, in
    changes that keep the length, by ``GAIN_PAIR`` per pair. An inverse mapping of UTF-8 that was taken once in a field is then
    tested at all valid sequences of the field, whether their pairs are improbable or not.
-4. U+FFFD and sequences cut off by lost bytes are reported, but cannot be restored; what else can be, is.
+4. U+FFFD, whose pairs are always improbable, and sequences cut off by lost bytes inside runs are reported, but cannot be
+   restored; what else can be, is.
 
 Defined results: null and empty fields give no row; sound text of any script gives none; repeated rows give one row
 each in :func:`repair`; a corpus without pairs gives no row. Extra columns are ignored.
@@ -37,6 +38,7 @@ MOST_PMI = 2.0
 GAIN = 3.0  # nats over the whole run
 RARER = 1.0  # nats per pair that undone UTF-8 sequences may be less probable by
 GAIN_PAIR = 0.8  # nats per pair, where a whole run changes its one-byte encoding
+SWAPPED_LETTERS = 2  # a span of fewer letters beyond ASCII is a matter of chance in every one-byte encoding
 ROUNDS = 3
 MEMO = 300_000
 COPIES = 2  # times the mean copies of a value that a value can count
@@ -131,6 +133,8 @@ class PairModel:
             share = p * np.clip(np.log(p / np.maximum(pa_[a] * pb_[b], 1e-300)), 1e-9, MOST_PMI)
             score = np.full(SYMBOLS * SYMBOLS, 6.0, dtype=np.float16)
             score[self.pairs] = np.clip(np.log(IMPROBABLE / np.maximum(share, 1e-12)), -3.0, 6.0)
+            lost = int(_FOLD[0xFFFD])  # a replacement character is never probable, however many there are
+            score.reshape(SYMBOLS, SYMBOLS)[lost, :] = score.reshape(SYMBOLS, SYMBOLS)[:, lost] = 6.0
             logp = np.full(SYMBOLS * SYMBOLS, np.log(SMOOTH / self.total), dtype=np.float32)
             logp[self.pairs] = np.log(p)
             self._tables = score, logp
@@ -299,7 +303,7 @@ def _swaps(run: str) -> Iterator[str]:
         m = _BYTES[seen]
 
         def back(x: re.Match, m: dict = m, meant: str = meant) -> str:
-            if sum(c > "\x7f" and c.isalpha() for c in x.group()) < 4:
+            if sum(c > "\x7f" and c.isalpha() for c in x.group()) < SWAPPED_LETTERS:
                 return x.group()
             try:
                 return bytes(m.get(c, ord(c) & 127) for c in x.group()).decode(meant)
@@ -319,7 +323,7 @@ def inverse(run: str, left: str, right: str, model: PairModel) -> str:
         seen.update(level)
         decoded += [(model.logp(left + t + right), t) for t in level]
     swapped: list[tuple[float, str]] = []
-    if len(run) >= 4 and sum(c > "\x7f" for c in run) * 2 > len(run) and len(_LETTERS.findall(run)) >= 4:
+    if sum(c > "\x7f" and c.isalpha() for c in run) >= SWAPPED_LETTERS:
         swapped = [(model.logp(left + t + right), t) for t in _swaps(run)]
     if not decoded and not swapped:
         return run
@@ -356,7 +360,7 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
     if entities:
         runs = sorted(runs + [e for e in entities if any(a < e[1] and b > e[0] for a, b in runs)])
     out: list[str] = []
-    at = undone = 0
+    at = undone = lost = 0
     taken: set[str] = set()
     for a, b in runs:
         while a > at and text[a - 1] > "\x7f":
@@ -379,8 +383,11 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
         if best != run:
             undone += 1
             taken |= _codecs(run, best, model)
-            out += [text[at:a], best]
-            at = b
+        # what stays of a run may be the rest of a sequence whose other bytes were lost; the characters around tell its end
+        left, right = text[max(0, a - 1) : a], text[b : b + 1]
+        lost += best.count("\ufffd") + sum(1 for m in _CUT_OFF.finditer(left + best + right) if m.end() > len(left) and m.start() < len(left) + len(best))
+        out += [text[at:a], best]
+        at = b
     out.append(text[at:])
     whole = "".join(out)
     for codec in WRONG:
@@ -389,7 +396,7 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
             if left and (t := _unutf8(whole, codec, model)) != whole:
                 undone += max(1, left - len(_PATTERNS[codec].findall(t)))
                 whole = t
-    return whole, undone, whole.count("\ufffd") + len(_CUT_OFF.findall(whole))
+    return whole, undone, lost
 
 
 SCHEMA = "tbl string, id bigint, field string, undone int, lost int, restored string"
@@ -423,7 +430,7 @@ def repair(fields: DataFrame, model: PairModel | None = None) -> DataFrame:
                 for k, t in slab:
                     codes, symbols = fold(t)
                     runs = improbable_runs(codes, symbols, score)
-                    if not runs and "�" not in t:
+                    if not runs:
                         continue
                     whole, undone, lost = restore(t, m, runs)
                     if undone or lost:

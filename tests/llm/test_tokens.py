@@ -78,3 +78,26 @@ def test_pack_corpus(spark):
     assert by_doc == Counter(n) and max(by_box.values()) <= 128
     assert len([r for r in got if r.doc_id == 100]) == -(-n[100] // 128) and all(len([r for r in got if r.doc_id == i]) == 1 for i in range(3))
     assert packing.pack_corpus(df.where("false")).count() == 0
+
+
+def test_distinct_words_are_replayed_once(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").repartition(5)
+    texts = [r.text for r in docs.collect() if r.text]
+    words = Counter(w for t in texts for w in ENC.split(t))
+    got = tokenize.encoded_words(tokenize.word_counts(docs)).collect()
+    assert len(got) == len(words) and {r.word: r.n for r in got} == words  # one row, thus one replay, for each
+    assert all(r.ids == OTHER.encode_ordinary(r.word) for r in got)
+
+
+@pytest.mark.parametrize("most", [0, 7, 10**6])
+def test_any_number_of_frequent_words_gives_the_same(spark, small, most):
+    docs = spark.read.parquet(f"{small}/documents.parquet").repartition(3)
+    got = {r.doc_id: r.ids for r in tokenize.encode_corpus(docs, most=most).collect()}
+    assert got == {r.doc_id: OTHER.encode_ordinary(r.text or "") for r in docs.collect()}
+
+
+def test_little_room_is_left_over(spark, small):
+    from tidewrack.llm.queries import QUERIES
+
+    r = QUERIES["p9_fill"](spark, small.replace("0.001", "0.1")).first()
+    assert r.unused_share < 0.01 and r.tokens > 1_000_000

@@ -10,6 +10,8 @@ than the one item did, the two replace the one. This repeats while it tightens t
 
 Items longer than the capacity are divided: full pieces have a container each, the rest is an item like others.
 
+Container numbers depend on how the input is split into partitions; what a container holds at most does not.
+
 Defined results: null and empty texts have size 0, are one piece and share a container of their slab with others;
 repeated rows are packed as rows of their own; an empty table gives an empty table; other columns are ignored.
 """
@@ -112,8 +114,8 @@ def pack_corpus(
     """One row per piece: its tokens ``token_from`` to ``token_from + n_tokens`` of the text, and its container."""
     if capacity < 1:
         raise ValueError("the capacity must be positive")
-    ranks = df.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
-    key = ranks._jbroadcast.id()
+    shared = df.sparkSession.sparkContext.broadcast((load_ranks(ranks_path), ([], [])))
+    key = shared._jbroadcast.id()
     src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def packed(ids: list, sizes: np.ndarray, base: int) -> tuple[pa.RecordBatch, int]:
@@ -130,7 +132,7 @@ def pack_corpus(
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "token_from", "n_tokens", "container"]), n + int(own.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = shared_encoder(key, ranks)
+        enc = shared_encoder(key, shared)
         base = TaskContext.get().partitionId() * _LARGEST_PARTITION * 1024
         ids: list = []
         sizes: list[np.ndarray] = []

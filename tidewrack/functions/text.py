@@ -21,6 +21,7 @@ def collapse(c: Column) -> Column:
 
 
 def _without_markup(c: Column) -> Column:
+    """Scripts, styles and tags become blanks (fixed behaviour: what is text decides tokens, digests and cuts at lengths)."""
     for pattern in (r"(?i)<script[\s\S]*?</script>", r"(?i)<style[\s\S]*?</style>", r"<[^>]+>"):
         c = F.regexp_replace(c, pattern, " ")
     return c
@@ -33,7 +34,7 @@ def _entities(c: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    """Visible text of mark-up; entities are decoded in this order, so a doubly escaped one is decoded twice."""
+    """Visible text of mark-up; entities are decoded in this order (fixed behaviour), so a doubly escaped one is decoded twice."""
     return collapse(_entities(_without_markup(c), [("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]))
 
 

@@ -95,20 +95,26 @@ SQL["flagship"] = f"""with good as (select rec_id, u, t, c from raw_docs where {
  select {_shard("u", 128)} as shard, count(*) as docs, sum(strlen(c))::bigint as bytes, max(digest) as max_digest from good join digests using (rec_id) group by 1"""
 SQL["simhash_docs"] = f"with {_digest('raw_docs', 'rec_id', _TC)} select rec_id, digest from digests"
 
-_first = lambda *p: "coalesce(" + ", ".join(f"nullif(regexp_extract(html, '{x}', 1), '')" for x in p) + ", '')"
-_CANON = """(?i)<link[^>]+rel=["'']canonical["''][^>]+href=["'']([^"'']+)["'']"""
-_DESC = """(?i)<meta[^>]+name=["'']description["''][^>]+content=["'']([^"'']+)["'']"""
-_DESC2 = """(?i)<meta[^>]+content=["'']([^"'']+)["''][^>]+name=["'']description["'']"""
-_TITLE = r"(?i)<title[^>]*>([\s\S]*?)</title>"
-_START = r"length(regexp_extract(html, '(?i)^([\s\S]*?)<body[\s>]', 1)) + 1"
-SQL["extract_pages"] = f"""with {PAGES} select coalesce(nullif(regexp_extract(html, '{_CANON}', 1), ''), url) as u, substr({_strip(f"regexp_extract(html, '{_TITLE}', 1)")}, 1, 200) as t,
- substr({_first(_DESC, _DESC2)}, 1, 400) as d, substr({_strip(f"substr(html, {_START}, 40000)")}, 1, 2000) as c,
- split_part(lower(regexp_extract(html, '(?i)<html[^>]+lang=["'']([a-zA-Z-]+)["'']', 1)), '-', 1) as l from pages"""
-_pick = lambda *p: "coalesce(" + ", ".join(f"nullif({_collapse(f'''regexp_extract(html, '{x}', 1)''')}, '')" for x in p) + ", '')"
-_OG = lambda k: f"""(?i)<meta[^>]+property=["'']og:{k}["''][^>]+content=["'']([^"'']+)["'']"""
-SQL["crawl_extract"] = f"""with {PAGES}, x as (select url as u, {_pick(_OG("title"), _TITLE)} as t, {_pick(_DESC, _OG("description"))} as d, substr({_strip_crawl("html")}, 1, 2000) as text,
- nullif({_pick(_CANON)}, '') as canonical, nullif({_pick(_OG("image"))}, '') as image, nullif({_pick('''(?i)<html[^>]+lang=["'']([^"'']+)["'']''')}, '') as lang,
- list_filter(list_transform(regexp_extract_all(html, '(?i)<a[^>]+href=["'']([^"'']+)["'']', 1), lambda h: {_resolve("h", "url")}), lambda h: h is not null) as r from pages),
+
+def _values(name: str, key: str, label: tuple[str, str] | None = None) -> str:
+    """Values of an attribute of tags, by looking for ``key=`` in each opened tag; ``label`` is another attribute and its value."""
+    opened = f"regexp_extract_all(html, '(?i)<{name}\\s[^<>]*>')"
+    held = lambda k: f"""regexp_extract(tag, '(?i)\\s{k}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1)"""
+    bare = lambda x: f"case when substr({x}, 1, 1) in ('\"', '''') then substr({x}, 2, length({x}) - 2) else {x} end"
+    fit = f"list_filter({opened}, lambda tag: lower({bare(held(label[0]))}) = '{label[1]}')" if label else opened
+    return f"list_filter(list_transform({fit}, lambda tag: {bare(held(key))}), lambda v: v <> '')"
+
+
+_one = lambda x: f"coalesce({x}[1], '')"
+_CANON, _DESC, _LANG = _values("link", "href", ("rel", "canonical")), _values("meta", "content", ("name", "description")), _values("html", "lang")
+_OG = lambda k: _values("meta", "content", ("property", f"og:{k}"))
+_TITLE = "case when strpos(lower(html), '</title') > 0 then split_part(substr(html, strpos(lower(html), '<title'), strpos(lower(html), '</title') - strpos(lower(html), '<title')), '>', 2) else '' end"
+SQL["extract_pages"] = f"""with {PAGES} select coalesce({_CANON}[1], url) as u, substr({_strip(_TITLE)}, 1, 200) as t, substr({_one(_DESC)}, 1, 400) as d,
+ substr({_strip("substr(html, greatest(1, strpos(lower(html), '<body')), 40000)")}, 1, 2000) as c, split_part(lower({_one(f"list_filter({_LANG}, lambda v: regexp_full_match(v, '[A-Za-z-]+'))")}), '-', 1) as l from pages"""
+_pick = lambda *x: "coalesce(" + ", ".join(f"nullif({_collapse(v)}, '')" for v in x) + ", '')"
+SQL["crawl_extract"] = f"""with {PAGES}, x as (select url as u, {_pick(_one(_OG("title")), _TITLE)} as t, {_pick(_one(_DESC), _one(_OG("description")))} as d, substr({_strip_crawl("html")}, 1, 2000) as text,
+ nullif({_pick(_one(_CANON))}, '') as canonical, nullif({_pick(_one(_OG("image")))}, '') as image, nullif({_pick(_one(_LANG))}, '') as lang,
+ list_filter(list_transform({_values("a", "href")}, lambda h: {_resolve("h", "url")}), lambda h: h is not null) as r from pages),
  y as (select u, row_number() over () as n, t, d, text, canonical, image, lang, r from x where t <> '' or text <> ''),
  z as (select n, unnest(r[1:128]) as link, generate_subscripts(r[1:128], 1) as k from y), f as (select n, link, min(k) as k from z group by n, link), g as (select n, list(link order by k)[1:64] as links from f group by n)
  select u, t, d, text, canonical, image, lang, coalesce(array_to_string(links, ' '), '') as links from y left join g using (n)"""

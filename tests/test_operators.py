@@ -61,9 +61,11 @@ def test_shards_are_complete_and_written(spark, tmp_path):
     df = spark.createDataFrame([(f"https://h{i}.example.org/", "text") for i in range(50)], "u string, c string")
     counts = shards.with_empty(shards.shard_counts(df, 8), 8).collect()
     assert len(counts) == 8 and sum(r.docs for r in counts) == 50
-    m = shards.write_sharded(df, str(tmp_path / "s"), 8)
-    assert m.count() == 8 and spark.read.parquet(str(tmp_path / "s")).count() == 50
-    assert spark.read.json(str(tmp_path / "s-manifest")).agg(F.sum("docs")).first()[0] == 50
+    for fmt in ("parquet", "json"):
+        m = shards.write_sharded(df, str(tmp_path / fmt), 8, fmt=fmt)
+        assert m.count() == 8 and spark.read.format(fmt).load(str(tmp_path / fmt)).count() == 50
+        assert tuple(m.agg(F.sum("docs"), F.sum("bytes")).first()) == (50, 200)  # bytes of the payload
+        assert spark.read.json(str(tmp_path / f"{fmt}-manifest")).agg(F.sum("docs")).first()[0] == 50
 
 
 def test_index_last_write_wins_and_masks(spark):
@@ -169,11 +171,23 @@ def test_feeds(spark):
     df = spark.createDataFrame([("r", xml), ("a", atom), ("n", None)], "id string, xml string")
     assert {r["id"]: r["n"] for r in feeds.feed_items(df).groupBy("id").agg(F.count("*").alias("n")).collect()} == {"r": 40, "a": 1}
     maps = spark.createDataFrame([("https://h.example.org/sitemap.xml", "<sitemapindex><loc> https://h.example.org/s1.xml </loc></sitemapindex>"), ("https://h.example.org/s1.xml", "<urlset><loc>https://h.example.org/p</loc><loc>ftp://x</loc></urlset>"), ("https://o.example.org/s.xml", "<urlset><loc>https://o.example.org/q</loc></urlset>")], "url string, xml string")
-    assert {r.u for r in feeds.sitemap_urls(maps).collect()} == {"https://h.example.org/p", "https://o.example.org/q"}
+    roots = spark.createDataFrame([("h", "https://h.example.org/sitemap.xml", 0), ("o", "https://o.example.org/s.xml", 0), ("x", "https://none.example.org/", 0)], "host string, url string, place int")
+    assert {(r.host, r.u) for r in feeds.sitemap_urls(roots, maps).collect()} == {("h", "https://h.example.org/p"), ("o", "https://o.example.org/q")}
+    index = "<sitemapindex>" + "".join(f"<loc>https://i.example.org/{k}.xml</loc>" for k in range(30, 0, -1)) + "</sitemapindex>"
+    maps = spark.createDataFrame([("https://i.example.org/i.xml", index)] + [(f"https://i.example.org/{k}.xml", f"<urlset><loc>https://i.example.org/p{k}</loc></urlset>") for k in range(31)] + [(f"https://i.example.org/r{k}", f"<urlset><loc>https://i.example.org/q{k}</loc></urlset>") for k in range(6)], "url string, xml string")
+    roots = spark.createDataFrame([("i", "https://i.example.org/i.xml", 0)] + [("i", f"https://i.example.org/r{k}", 6 - k) for k in range(6)], "host string, url string, place int")
+    got = {r.u.rsplit("/", 1)[1] for r in feeds.sitemap_urls(roots, maps).collect()}
+    assert got == {f"p{k}" for k in range(11, 31)} | {"q5", "q4", "q3"}  # children in document order, four roots
+    assert [r.u.rsplit("/", 1)[1] for r in feeds.sitemap_urls(roots, maps, per_host=3).orderBy("u").collect()] == ["p28", "p29", "p30"]
+    plain = spark.createDataFrame([("https://a.org/sitemap_index.xml", "<loc>https://a.org/2</loc>"), ("https://b.org/sitemap.xml", "<loc>https://b.org/1</loc>"), ("https://b.org/sitemap_index.xml", "<loc>https://b.org/9</loc>")], "url string, xml string")
+    assert {r.u for r in feeds.simple_sitemaps(spark.createDataFrame([("a.org",), ("b.org",), ("c.org",)], "host string"), plain).collect()} == {"https://a.org/2", "https://b.org/1"}
+    assert feeds.feed_list(spark, None).count() == feeds.feed_list(spark, plain.where("false")).count() == len(feeds.DEFAULT_FEEDS) and feeds.feed_list(spark, plain).count() == 3
     rb = spark.createDataFrame([("h", "Sitemap: https://h/x.xml\nsitemap:https://h/y.xml"), ("g", None)], "host string, body string")
     assert {r.sitemap for r in feeds.robots_sitemaps(rb).collect()} == {"https://h/x.xml", "https://h/y.xml", "https://g/sitemap.xml"}
     zone = spark.createDataFrame([("Foo.ch. 3600 IN NS ns1.x.",), ("a.foo.ch. IN NS ns.x.",), ("bar.ch. 3600 in a 1.2.3.4",), ("baz.org. IN NS ns.x.",)], "value string")
-    assert [r.domain for r in feeds.zone_domains(zone, "ch").collect()] == ["foo.ch"]
+    assert [r.domain for r in feeds.zone_domains(zone, "ch").collect()] == ["foo.ch"] and [r.domain for r in feeds.zone_domains(zone, "", most=1).collect()] == ["baz.org"]
+    many = spark.createDataFrame([(["*.a.co.uk", "b.a.co.uk", "c.example.org"],), (None,)], "dns_names array<string>")
+    assert {r.domain for r in feeds.issuance_names(many).collect()} == {"a.co.uk", "example.org"}
     tsv = "\t".join(["0", "1", "2", "3", "src", "https://m.example.org/", "6", "7", "8", "9", "10", "11", "12", "1.5abc"])
     got = feeds.mentions(spark.createDataFrame([(tsv,), (tsv.replace("https", "ftp"),), ("short",), ("\t\t\t\t\thttp://x.example.org/",)], "value string")).collect()
     assert [(r.u, r.host, r.tone) for r in got] == [("https://m.example.org/", "src", 1.5), ("http://x.example.org/", "", 0.0)]

@@ -6,6 +6,7 @@ import json
 import time
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewrack import schemas
@@ -26,6 +27,8 @@ def test_warc(spark, tmp_path):
     (tmp_path / "b.warc").write_bytes(record("response", "https://c.example.org/", http) + record("response", "https://d.example.org/", http, length=False))
     got = {r.uri: r.html for r in spark.read.format("warc").load(str(tmp_path)).collect()}
     assert got == {"https://a.example.org/": "<p>caf�</p>", "https://b.example.org/": "", "https://c.example.org/": "<p>caf�</p>"}
+    with pytest.raises(Exception, match="without length"):
+        spark.read.format("warc").option("strict", "true").load(str(tmp_path)).collect()
 
 
 def name(host):
@@ -57,6 +60,12 @@ def test_log_stream_resumes_by_offset(spark, tmp_path):
     (logs / "one" / "600.txt").write_text("l600\n")
     run()
     assert spark.read.parquet(str(out)).agg(F.count("*"), F.countDistinct("entry"), F.max("entry")).first()[:] == (601, 601, 600)
+    (logs / "two").mkdir()
+    read = lambda n: sorted((r.log, r.entry, r.leaf) for r in spark.read.format("ctlog").option("path", str(logs)).option("lastentries", n).load().collect())
+    assert read(3) == [("one", k, f"l{k}") for k in (598, 599, 600)] and len(read(-1)) == 601
+    parts = ctlog._Logs(str(logs)).parts({"one": 599}, {"one": 601})
+    assert [(p.first, p.start, p.end) for p in parts] == [(0, 599, 600), (600, 600, 601)]  # a file is read by one task, once
+    assert ctlog._Logs(str(logs)).parts({"one": 600}, {"one": 601})[0].first == 600  # older files are not opened
 
 
 def test_rolling_dedup_stream(spark, tmp_path):

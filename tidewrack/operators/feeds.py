@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewrack.functions import text, urls
@@ -17,6 +17,13 @@ LOC = r"(?i)<loc>\s*([^<]+?)\s*</loc>"
 DEFAULT_FEEDS = tuple(f"https://feeds.example.{d}/{p}" for d in ("org", "com", "net") for p in ("news.xml", "science.xml", "technology.xml"))
 
 
+def feed_list(spark: SparkSession, feeds: DataFrame | None) -> DataFrame:
+    """``url`` of the feeds of a list, or the default ones where there is no list or it is empty."""
+    if feeds is not None and not feeds.isEmpty():
+        return feeds.select("url")
+    return spark.createDataFrame([(u,) for u in DEFAULT_FEEDS], "url string")
+
+
 def feed_items(feeds: DataFrame, xml: str = "xml", most: int = 40) -> DataFrame:
     """Adds ``u``: links of the first ``most`` items or entries with an http(s) link, attribute or text."""
     blocks = F.regexp_extract_all(F.coalesce(F.col(xml), F.lit("")), F.lit(ITEM), F.lit(0))
@@ -26,27 +33,39 @@ def feed_items(feeds: DataFrame, xml: str = "xml", most: int = 40) -> DataFrame:
 
 
 def sitemap_locs(maps: DataFrame, xml: str = "xml") -> DataFrame:
-    """``u`` and ``is_index`` of all locations that start with http."""
+    """``u``, ``place`` (in document order) and ``is_index`` of all locations that start with http."""
     locs = F.filter(F.regexp_extract_all(F.coalesce(F.col(xml), F.lit("")), F.lit(LOC), F.lit(1)), lambda u: u.startswith("http"))
-    return maps.withColumn("is_index", F.col(xml).rlike("(?i)<sitemapindex")).withColumn("u", F.explode(locs)).drop(xml)
+    return maps.select("*", F.coalesce(F.col(xml).rlike("(?i)<sitemapindex"), F.lit(False)).alias("is_index"), F.posexplode(locs).alias("place", "u")).drop(xml)
+
 
+def _first_of(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each group in an order, counted in 32 pieces of the group, so that no group is one task's sort."""
+    pieces = df.withColumn("_p", F.pmod(F.xxhash64(*order), F.lit(32)))
+    first = pieces.withColumn("_n", F.row_number().over(Window.partitionBy(group, "_p").orderBy(*order))).where(F.col("_n") <= n)
+    return first.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_n") <= n).drop("_p", "_n")
 
-def sitemap_urls(maps: DataFrame, url: str = "url", xml: str = "xml", children: int = 20, per_host: int = 5000) -> DataFrame:
-    """``(host, u)`` of sitemaps and of the first ``children`` children of sitemap indexes, distinct, at most ``per_host``
-    per host in order of address (counted in pieces of the host, so that no host is a single task).
+
+def sitemap_urls(roots: DataFrame, maps: DataFrame, url: str = "url", xml: str = "xml", most_roots: int = 4, children: int = 20, per_host: int = 5000) -> DataFrame:
+    """``(host, u)``: distinct locations of a host's sitemaps, at most ``per_host`` a host in the order they are met.
+
+    ``roots`` (host, url, place) are the sitemaps a host names; the first ``most_roots`` of them are read, and of an index
+    among them the first ``children`` children in document order. ``maps`` (url, xml) are stored answers.
     """
-    from pyspark.sql import Window
+    begun = _first_of(roots.select("host", F.col("url").alias("_root"), F.col("place").alias("_r")), "host", ["_r", "_root"], most_roots)
+    found = sitemap_locs(maps.select(F.col(url).alias("_map"), F.col(xml).alias("xml")), "xml")
+    at_root = begun.join(found, begun["_root"] == found["_map"]).select("host", "_r", "is_index", "place", "u")
+    follow = at_root.where("is_index").where(F.col("place") < children).select("host", "_r", F.col("place").alias("_c"), F.col("u").alias("_map"))
+    below = follow.join(found.where("not is_index"), "_map").select("host", "_r", "_c", "place", "u")
+    every = at_root.where("not is_index").select("host", "_r", F.lit(-1).alias("_c"), "place", "u").unionByName(below)
+    met = every.groupBy("host", "u").agg(F.min(F.struct("_r", "_c", "place")).alias("m")).select("host", "u", "m.*")
+    return _first_of(met, "host", ["_r", "_c", "place", "u"], per_host).select("host", "u")
+
 
-    found = sitemap_locs(maps.select(url, xml), xml)
-    nth = F.row_number().over(Window.partitionBy(url).orderBy("u"))
-    follow = found.where("is_index").withColumn("n", nth).where(F.col("n") <= children).select(F.col("u").alias("child")).distinct()
-    pages = found.where("not is_index")
-    direct = pages.join(found.where("is_index").select(F.col("u").alias(url)).distinct(), url, "left_anti").select("u")
-    child = pages.join(follow.withColumnRenamed("child", url), url, "left_semi").select("u")
-    every = direct.unionByName(child).distinct().withColumn("host", urls.host_name(F.col("u")))
-    piece = every.withColumn("p", F.pmod(F.xxhash64("u"), F.lit(32)))
-    first = piece.withColumn("n", F.row_number().over(Window.partitionBy("host", "p").orderBy("u"))).where(F.col("n") <= per_host)
-    return first.withColumn("n", F.row_number().over(Window.partitionBy("host").orderBy("u"))).where(F.col("n") <= per_host).select("host", "u")
+def simple_sitemaps(hosts: DataFrame, maps: DataFrame, most: int = 200, first: int = 20) -> DataFrame:
+    """``(host, u)``: the first ``first`` of a host's first ``most`` locations, from the first of two usual places that answers."""
+    places = hosts.select("host", F.posexplode(F.array(F.concat(F.lit("https://"), "host", F.lit("/sitemap.xml")), F.concat(F.lit("https://"), "host", F.lit("/sitemap_index.xml")))).alias("_r", "url"))
+    answered = places.join(maps.where("xml is not null and xml <> ''"), "url").groupBy("host").agg(F.min_by("xml", "_r").alias("xml"))
+    return sitemap_locs(answered).where(F.col("place") < min(most, first)).select("host", "u")
 
 
 def robots_sitemaps(robots: DataFrame, host: str = "host", body: str = "body") -> DataFrame:
@@ -56,10 +75,18 @@ def robots_sitemaps(robots: DataFrame, host: str = "host", body: str = "body") -
     return robots.select(host, F.explode(F.when(F.size(found) > 0, found).otherwise(usual)).alias("sitemap"))
 
 
-def zone_domains(lines: DataFrame, suffix: str, line: str = "value") -> DataFrame:
-    """Distinct registrable names of NS lines of a zone file whose name ends in ``suffix`` (taken literally, without dot)."""
+def zone_domains(lines: DataFrame, suffix: str, line: str = "value", most: int | None = None) -> DataFrame:
+    """Distinct registrable names of NS lines of a zone file whose name ends in ``suffix`` (taken literally, without dot); a run
+    cap ``most`` takes the first in order of name.
+    """
     name = F.lower(F.regexp_extract(F.col(line), r"(?i)^([a-z0-9-]+(?:\.[a-z0-9-]+)*)\.\s+(?:\d+\s+)?IN\s+NS(?![A-Za-z0-9_])", 1))
-    return lines.select(name.alias("n")).where((F.col("n") != "") & F.col("n").contains(".") & F.col("n").endswith(suffix)).select(urls.registrable(F.col("n")).alias("domain")).distinct()
+    found = lines.select(name.alias("n")).where((F.col("n") != "") & F.col("n").contains(".") & F.col("n").endswith(suffix)).select(urls.registrable(F.col("n")).alias("domain")).distinct()
+    return found if most is None else run_cap(found, ["domain"], most)
+
+
+def run_cap(df: DataFrame, order: list[str], most: int) -> DataFrame:
+    """The cap of a run: the first rows in an order."""
+    return df.orderBy(*order).limit(most)
 
 
 def mentions(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -81,6 +108,11 @@ def certificate_names(rows: DataFrame, names: str = "name_value", keep_subdomain
     return each.select(name.alias("domain")).where("domain is not null").distinct()
 
 
+def issuance_names(rows: DataFrame, names: str = "dns_names", keep_subdomains: bool = False) -> DataFrame:
+    """Distinct domains of certificate rows whose names stand in an array."""
+    return certificate_names(rows.select(F.array_join(F.coalesce(F.col(names), F.array().cast("array<string>")), "\n").alias("name_value")), keep_subdomains=keep_subdomains)
+
+
 def active_logs(doc: DataFrame) -> DataFrame:
     """Certificate logs of a log list (``operators`` of ``name`` and ``logs``) that are usable or qualified."""
     op = doc.select(F.explode("operators").alias("op")).select(F.col("op.name").alias("operator"), F.explode("op.logs").alias("log"))

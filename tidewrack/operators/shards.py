@@ -34,14 +34,16 @@ def batch_manifest(df: DataFrame, n: int = 128, batch: str = "batch_id", u: str
     return all_shards(df.sparkSession, n).join(lists, "shard", "left").withColumn("entries", F.coalesce("entries", F.expr("array()")))
 
 
-def write_sharded(df: DataFrame, path: str, n: int = 128, u: str = "u", fmt: str = "parquet", max_records: int = 0) -> DataFrame:
-    """Write one folder per shard; files of a hot shard are split by a salt, and the manifest comes after the data.
+def write_sharded(df: DataFrame, path: str, n: int = 128, u: str = "u", payload: str = "c", fmt: str = "parquet", max_records: int = 0) -> DataFrame:
+    """Write one folder per shard; the engine splits hot shards and joins small ones, and the manifest comes after the data.
 
-    Parquet is written with zstd, json with gzip. Returns the manifest (documents and bytes of every shard).
+    Parquet is written with zstd, json with gzip. Returns the manifest: documents and bytes of the column ``payload`` of every
+    shard, empty ones included, counted from what was written.
     """
-    salted = with_shard(df, n, u).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(8)))
-    out = salted.repartition("shard", "_salt").drop("_salt").write.mode("overwrite").partitionBy("shard").option("maxRecordsPerFile", max_records)
+    out = with_shard(df, n, u).hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").option("maxRecordsPerFile", max_records)
     (out.option("compression", "zstd") if fmt == "parquet" else out.option("compression", "gzip")).format(fmt).save(path)
-    manifest = with_empty(shard_counts(df, n, u, df.columns[0]), n)
-    manifest.coalesce(1).write.mode("overwrite").json(path.rstrip("/") + "-manifest")
-    return manifest
+    back = df.sparkSession.read.schema(with_shard(df, n, u).schema).format(fmt).load(path)
+    counts = back.groupBy("shard").agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.octet_length(payload)), F.lit(0)).cast("bigint").alias("bytes"))
+    where = path.rstrip("/") + "-manifest"
+    with_empty(counts, n).coalesce(1).write.mode("overwrite").json(where)
+    return df.sparkSession.read.schema("shard int, docs bigint, bytes bigint").json(where)

@@ -9,9 +9,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-CHUNK = 256
 NEW_LOG = 1024
 _HOST = re.compile(rb"^[a-z0-9*][a-z0-9.\-*]*[a-z0-9]$")
 
@@ -60,57 +59,110 @@ def certificate_hosts(der: Column) -> Column:
     return scan(der)
 
 
-class _Range(InputPartition):
-    def __init__(self, log: str, start: int, end: int):
-        self.log, self.start, self.end = log, start, end
+class _File(InputPartition):
+    """The entries from ``start`` to ``end`` of one file of a log."""
+
+    def __init__(self, log: str, path: str, first: int, start: int, end: int):
+        self.log, self.path, self.first, self.start, self.end = log, path, first, start, end
+
+
+class _Logs:
+    """A folder of logs. A log is a folder of files of one base64 leaf per line, named by their first entry.
+
+    A file ends where the next begins, so that only the newest file of a log is counted, and only again when it has grown.
+    """
+
+    def __init__(self, path: str):
+        self.path = path.removeprefix("file://").removeprefix("file:")
+        self.counted: dict[str, tuple[int, int]] = {}
+
+    def _lines(self, path: str) -> int:
+        size = os.path.getsize(path)
+        if self.counted.get(path, (-1, 0))[0] != size:
+            with open(path, "rb") as f:
+                self.counted[path] = size, sum(block.count(b"\n") for block in iter(lambda: f.read(1 << 20), b""))
+        return self.counted[path][1]
+
+    def files(self, log: str) -> list[tuple[int, str]]:
+        folder = os.path.join(self.path, log)
+        return sorted((int(f.split(".")[0]), os.path.join(folder, f)) for f in os.listdir(folder) if f.split(".")[0].isdigit())
+
+    def sizes(self) -> dict[str, int]:
+        out = {}
+        for log in sorted(os.listdir(self.path)):
+            if os.path.isdir(os.path.join(self.path, log)):
+                files = self.files(log)
+                out[log] = files[-1][0] + self._lines(files[-1][1]) if files else 0
+        return out
+
+    def parts(self, start: dict, end: dict) -> list[_File]:
+        """One partition per file that holds entries of the ranges."""
+        out = []
+        for log, last in end.items():
+            first, files = start.get(log, 0), self.files(log) if last > start.get(log, 0) else []
+            for k, (begin, path) in enumerate(files):
+                until = files[k + 1][0] if k + 1 < len(files) else last
+                if begin < last and until > first:
+                    out.append(_File(log, path, begin, max(begin, first), min(until, last)))
+        return out
+
+    @staticmethod
+    def read(part: _File) -> Iterator[tuple]:
+        with open(part.path) as lines:
+            for k, line in enumerate(lines, part.first):
+                if k >= part.end:
+                    return
+                if k >= part.start:
+                    yield part.log, k, line.strip()
+
+
+class _Batch(DataSourceReader):
+    """The last ``lastentries`` entries of each log, or all."""
+
+    def __init__(self, options: dict):
+        self.logs, self.last = _Logs(options["path"]), int(options.get("lastentries", -1))
+
+    def partitions(self) -> list[_File]:
+        end = self.logs.sizes()
+        return self.logs.parts({k: max(0, v - self.last) if self.last >= 0 else 0 for k, v in end.items()}, end)
+
+    def read(self, partition: _File) -> Iterator[tuple]:
+        return self.logs.read(partition)
 
 
 class _Stream(DataSourceStreamReader):
-    """Offsets are ``{log: next entry}``. A log is a folder of files of one base64 leaf per line, named by first entry."""
+    """Offsets are ``{log: next entry}``."""
 
     def __init__(self, options: dict):
-        self.path, self.from_start = options["path"], options.get("from", "head") == "start"
+        self.logs, self.from_start = _Logs(options["path"]), options.get("from", "head") == "start"
         self.per_batch = int(options.get("maxentries", 100_000))
         self.at: dict[str, int] | None = None
 
-    def _sizes(self) -> dict[str, int]:
-        sizes = {}
-        for log in sorted(os.listdir(self.path)):
-            folder = os.path.join(self.path, log)
-            if os.path.isdir(folder):
-                sizes[log] = max((int(f.split(".")[0]) + sum(1 for _ in open(os.path.join(folder, f))) for f in os.listdir(folder) if f.split(".")[0].isdigit()), default=0)
-        return sizes
-
     def initialOffset(self) -> dict:
         """First contact starts at the head of a long log."""
-        return {k: 0 if self.from_start or v <= NEW_LOG else v for k, v in self._sizes().items()}
+        return {k: 0 if self.from_start or v <= NEW_LOG else v for k, v in self.logs.sizes().items()}
 
     def latestOffset(self) -> dict:
-        sizes = self._sizes()
+        sizes = self.logs.sizes()
         start = self.at if self.at is not None else self.initialOffset()
         self.at = {k: min(v, start.get(k, 0) + self.per_batch) for k, v in sizes.items()}
         return self.at
 
-    def partitions(self, start: dict, end: dict) -> list[_Range]:
-        return [_Range(k, a, min(a + CHUNK, e)) for k, e in end.items() for a in range(start.get(k, 0), e, CHUNK)]
+    def partitions(self, start: dict, end: dict) -> list[_File]:
+        return self.logs.parts(start, end)
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
-        folder = os.path.join(self.path, partition.log)
-        for f in sorted(os.listdir(folder), key=lambda x: int(x.split(".")[0])):
-            first = int(f.split(".")[0])
-            if first >= partition.end:
-                break
-            with open(os.path.join(folder, f)) as lines:
-                for k, line in enumerate(lines, first):
-                    if partition.start <= k < partition.end:
-                        yield partition.log, k, line.strip()
+    def read(self, partition: _File) -> Iterator[tuple]:
+        return self.logs.read(partition)
 
     def commit(self, end: dict) -> None:
         pass
 
 
 class CtLogDataSource(DataSource):
-    """``spark.readStream.format("ctlog").option("path", ...)``: entries of all logs below a folder that executors share."""
+    """``spark.readStream.format("ctlog").option("path", ...)``: entries of all logs below a folder that executors share.
+
+    ``spark.read`` reads them once: all, or with ``lastentries`` the newest of each log.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -119,6 +171,9 @@ class CtLogDataSource(DataSource):
     def schema(self) -> str:
         return "log string, entry bigint, leaf string"
 
+    def reader(self, schema) -> _Batch:
+        return _Batch(dict(self.options))
+
     def streamReader(self, schema) -> _Stream:
         return _Stream(dict(self.options))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import gzip
+import logging
 import os
 from collections.abc import Iterator
 
@@ -15,11 +16,11 @@ class _File(InputPartition):
         self.path = path
 
 
-def records(stream) -> Iterator[tuple[str, bytes]]:
+def records(stream, name: str = "", strict: bool = False) -> Iterator[tuple[str, bytes]]:
     """``(target address, HTTP message)`` of the response records of a decompressed archive stream.
 
-    A record has header lines up to a blank line and a body of Content-Length bytes; without a length the rest of the
-    stream can't be cut into records and is left.
+    A record has header lines up to a blank line and a body of Content-Length bytes. Without a length the rest of the
+    stream can't be cut into records: it is left, and the number of its bytes is reported (or, ``strict``, an error).
     """
     while True:
         line = stream.readline()
@@ -35,6 +36,10 @@ def records(stream) -> Iterator[tuple[str, bytes]]:
             line = stream.readline()
         length = head.get(b"content-length")
         if length is None or not length.isdigit():
+            left = sum(len(block) for block in iter(lambda: stream.read(1 << 20), b""))
+            if strict:
+                raise ValueError(f"{name}: a record without length, {left} bytes after its header")
+            logging.getLogger(__name__).warning("%s: a record without length, %d bytes after its header are left", name, left)
             return
         body = stream.read(int(length))
         if head.get(b"warc-type", b"").lower() == b"response" and (uri := head.get(b"warc-target-uri")):
@@ -51,8 +56,8 @@ def http_body(message: bytes) -> str:
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, strict: bool = False):
+        self.path, self.strict = path.replace("file://", "").replace("file:", ""), strict
 
     def partitions(self) -> list[_File]:
         found = [p for part in self.path.split(",") for p in (sorted(glob.glob(os.path.join(part, "**", "*.warc*"), recursive=True)) if os.path.isdir(part) else sorted(glob.glob(part)))]
@@ -63,7 +68,7 @@ class _Reader(DataSourceReader):
             zipped = raw.read(2) == b"\x1f\x8b"
             raw.seek(0)
             stream = gzip.open(raw) if zipped else raw
-            for uri, message in records(stream):
+            for uri, message in records(stream, partition.path, self.strict):
                 yield uri, http_body(message)
 
 
@@ -81,4 +86,4 @@ class WarcDataSource(DataSource):
         return "uri string, html string"
 
     def reader(self, schema) -> _Reader:
-        return _Reader(self.options["path"])
+        return _Reader(self.options["path"], self.options.get("strict", "false") == "true")

@@ -78,11 +78,13 @@ def test_index_write_and_chunks(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"https://a.example.org/{i}", "mill pond", "") for i in range(20)], "n int, u string, t string, d string")
     p = index.postings(docs, "n")
     index.write_index(p, str(tmp_path / "i"), 1)
-    back = spark.read.parquet(str(tmp_path / "i"))
-    assert back.count() == p.count()
+    back, lengths = search.open_index(spark, str(tmp_path / "i"))
+    assert back.count() == p.count() and lengths.count() == 20
+    plan = search.match_all(back, ["mill", "pond"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]  # folders of other buckets are not read
     assert index.chunked(p, 4).where("term = 'mill'").agg(F.sum(F.size("d"))).first()[0] == 20
     assert search.match_all(p, ["mill", "pond"]).count() == 20 and search.match_all(p, ["mill", "none"]).count() == 0
-    assert search.ranked(p, ["mill"]).count() == 15
+    assert search.ranked(back, lengths, ["mill"]).count() == 15 and search.match_all(back, ["mill", "pond"]).count() == 20
 
 
 def test_bloom_has_no_false_negatives(spark):

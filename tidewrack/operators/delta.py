@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.functions import hashing
@@ -41,3 +41,10 @@ def write_version(cur: DataFrame, prev: DataFrame, path: str, version: str) -> N
     ops = added(cur, prev).withColumn("op", F.lit("added")).unionByName(removed(cur, prev).withColumn("u", F.lit(None).cast("string")).withColumn("op", F.lit("removed")))
     ops.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/deltas/version={version}")
     cur.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/versions/version={version}")
+
+
+def latest(spark: SparkSession, path: str, what: str = "versions") -> DataFrame:
+    """The rows of the newest version; the engine prunes folders to it."""
+    every = spark.read.parquet(f"{path}/{what}")
+    newest = every.agg(F.max("version").alias("v")).first().v  # from folder names
+    return every.where(F.col("version") == F.lit(newest))

@@ -92,3 +92,9 @@ def lcg_shuffle(items: list[str], seed: int = 1337) -> list[str]:
         j = min(i, int(x / 0x7FFFFFFF * (i + 1)))
         out[i], out[j] = out[j], out[i]
     return out
+
+
+def reset_claims(claims: DataFrame, done: DataFrame, as_of: str, hours: int = 6) -> DataFrame:
+    """Claims (``id``, ``claimed_at``) that stay: of segments not done, and not older than a run may take."""
+    young = claims.where(F.col("claimed_at") >= F.expr(f"timestamp '{as_of}' - interval {int(hours)} hours"))
+    return young.join(done.select("id").distinct(), "id", "left_anti")

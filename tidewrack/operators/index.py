@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.functions import hashing, text
@@ -48,9 +48,17 @@ def bucket_stats(p: DataFrame) -> DataFrame:
 
 
 def write_index(p: DataFrame, path: str, batch_id: int) -> None:
-    """Postings in one folder per batch and bucket; terms of a bucket are salted by term so that no task holds it all."""
-    out = p.withColumn("batch_id", F.lit(batch_id)).repartition("bucket", F.pmod(F.xxhash64("term", "u"), F.lit(4)))
-    out.sortWithinPartitions("bucket", "term").write.mode("append").partitionBy("batch_id", "bucket").option("compression", "zstd").parquet(path)
+    """Postings in one folder per batch and bucket, and beside them the length of each document, so that a search reads
+    folders of its terms only. The engine splits large buckets and joins small ones.
+    """
+    own = p.drop("batch_id")
+    own.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id", "bucket").option("compression", "zstd").parquet(f"{path}/postings")
+    lengths = open_postings(p.sparkSession, path).where(F.col("batch_id") == batch_id).groupBy("u").agg(F.sum("tf").cast("bigint").alias("len"))
+    lengths.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").option("compression", "zstd").parquet(f"{path}/lengths")
+
+
+def open_postings(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/postings")
 
 
 def chunked(p: DataFrame, chunks: int = 64) -> DataFrame:

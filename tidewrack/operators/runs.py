@@ -61,3 +61,12 @@ def batch_samples(df: DataFrame, batch: str, u: str, most: int = 50) -> DataFram
 def read_through(df: DataFrame, reliable: bool = False) -> DataFrame:
     """A table kept for repeated reads: in memory and on disk, or (``reliable``) in the shared checkpoint folder."""
     return cut(df) if reliable else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def write_dated(df: DataFrame, path: str, ts: str) -> None:
+    """Rows in folders of date and hour; the batch of a folder is named by its content, so that the same rows written again
+    are the same batch.
+    """
+    dated = df.withColumn("day", F.date_format(ts, "yyyy-MM-dd")).withColumn("hour", F.date_format(ts, "HH"))
+    names = dated.groupBy("day", "hour").agg(F.substring(F.sha1(F.concat_ws(":", F.bit_xor(F.xxhash64(*df.columns)).cast("string"), F.count("*").cast("string"))), 1, 10).alias("batch"))
+    dated.join(names, ["day", "hour"]).hint("rebalance", "day", "hour").write.mode("append").partitionBy("day", "hour", "batch").parquet(path)

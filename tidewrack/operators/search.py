@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewrack.functions.urls import bare_host
 
+from .index import open_postings
 
 K1, B = 1.2, 0.75
 
 
+def open_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(postings, lengths)`` of a written index."""
+    return open_postings(spark, path), spark.read.parquet(f"{path}/lengths")
+
+
 def _terms(p: DataFrame, terms: list[str]) -> DataFrame:
-    """Postings of the terms, pruned by bucket folder first."""
-    buckets = {int(hashlib.sha1(t.encode()).hexdigest()[:2], 16) for t in terms}
-    return p.where(F.col("bucket").isin(*sorted(buckets)) & F.col("term").isin(*terms))
+    """Postings of the terms. Of a written index only the folders of their buckets are read."""
+    return p.where(F.col("bucket").isin(*sorted({term_bucket(t) for t in terms})) & F.col("term").isin(*terms))
 
 
 def match_all(p: DataFrame, terms: list[str]) -> DataFrame:
@@ -25,23 +31,23 @@ def match_all(p: DataFrame, terms: list[str]) -> DataFrame:
     return got.where(F.col("n") == len(want)).drop("n")
 
 
-def ranked(p: DataFrame, terms: list[str], scores: DataFrame | None = None, limit: int = 15) -> DataFrame:
+def ranked(p: DataFrame, lengths: DataFrame, terms: list[str], scores: DataFrame | None = None, limit: int = 15) -> DataFrame:
     """The best addresses that hold every term, by BM25 times one plus the host's score share.
 
-    Document lengths and counts come from one aggregate over the postings; the terms' own counts are a few rows.
+    Document lengths are stored with the index (one row a document); the terms' own counts are a few rows.
     ``scores`` (host, score 0..30) is a table of hosts, joined by a shuffle unless the engine measures it as small.
     """
-    from tidewrack.functions.urls import bare_host
-
     want = sorted(set(terms))
-    lengths = p.groupBy("u").agg(F.sum("tf").alias("len"))
     whole = lengths.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"))
     hit = _terms(p, want)
     df = hit.groupBy("term").agg(F.count("*").alias("df"))
-    per = hit.select("term", "u", "tf", "t").join(F.broadcast(df), "term").join(lengths, "u").crossJoin(F.broadcast(whole))  # one row of totals, one row per term
+    # only documents that hold every term take part in the joins
+    full = hit.groupBy("u").agg(F.count("*").alias("n"), F.collect_list(F.struct("term", "tf")).alias("x"), F.first("t").alias("t")).where(F.col("n") == len(want))
+    per = full.join(lengths.select("u", "len"), "u").select("u", "t", "len", F.explode("x").alias("x")).select("u", "t", "len", "x.*")
+    per = per.join(F.broadcast(df), "term").crossJoin(F.broadcast(whole))  # one row per term, one row of totals
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
-    docs = per.groupBy("u").agg(F.sum(weight).alias("bm25"), F.count("*").alias("n"), F.first("t").alias("t")).where(F.col("n") == len(want))
+    docs = per.groupBy("u").agg(F.sum(weight).alias("bm25"), F.first("t").alias("t"))
     if scores is not None:
         docs = docs.withColumn("host", bare_host(F.col("u"))).join(scores.select("host", "score"), "host", "left")
         final = F.col("bm25") * (1 + F.coalesce("score", F.lit(0)) / 30.0)
@@ -67,4 +73,4 @@ def term_bucket(term: str) -> int:
     return int(hashlib.sha1(term.encode()).hexdigest()[:2], 16)
 
 
-__all__ = ["match_all", "ranked", "merge_tiers", "newest_batch", "term_bucket"]
+__all__ = ["match_all", "open_index", "ranked", "merge_tiers", "newest_batch", "term_bucket"]

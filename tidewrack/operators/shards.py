@@ -47,3 +47,11 @@ def write_sharded(df: DataFrame, path: str, n: int = 128, u: str = "u", payload:
     where = path.rstrip("/") + "-manifest"
     with_empty(counts, n).coalesce(1).write.mode("overwrite").json(where)
     return df.sparkSession.read.schema("shard int, docs bigint, bytes bigint").json(where)
+
+
+def lookback(df: DataFrame, ordinal: str, as_of: str, days: int = 30, ts: str = "ts", u: str = "u") -> DataFrame:
+    """What a rebuild from the last ``days`` before ``as_of`` holds: the first record of each address."""
+    from .dedup import keep_one
+
+    recent = df.where((F.col(ts) > F.expr(f"timestamp '{as_of}' - interval {int(days)} days")) & (F.col(ts) <= F.expr(f"timestamp '{as_of}'")) & F.col(u).isNotNull())
+    return keep_one(recent, [u], [F.col(ordinal)])

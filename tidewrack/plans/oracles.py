@@ -237,7 +237,7 @@ SQL["saved_bytes"] = "select b as before, a as after, b - a as saved, round(100.
 
 _BUCKET = "('0x' || substr(sha1({0}), 1, 2))::int"
 SQL["frontier_pending"] = f"select distinct warc as id from raw_docs where warc is not null and {_BUCKET.format('warc')} % 3 <> 0 and {_BUCKET.format('warc')} % 5 <> 0"
-SQL["segment_list"] = """with l as (select 0 as dump, rec_id as line_no, 'data/' || coalesce(warc, 'none') || '.warc.gz' as path from raw_docs where rec_id % 4 <= 0 union all select 1, rec_id, 'data/' || coalesce(warc, 'none') || '.warc.gz' from raw_docs where rec_id % 4 <= 2)
+SQL["segment_list"] = """with l as (select 0 as dump, rec_id as line_no, 'data/' || coalesce(warc, 'none') || '.warc.gz' as path from raw_docs where coalesce(src, '') <> 'rss' union all select 1, rec_id, 'data/' || coalesce(warc, 'none') || '.warc.gz' from raw_docs where coalesce(src, '') <> 'warc')
  select regexp_extract(path, '([^/]+)\\.warc\\.gz$', 1) as id, path, dump, line_no from l qualify row_number() over (partition by path order by dump, line_no) = 1""".replace("\\\\", "\\")
 SQL["crawl_candidates"] = "select distinct u from raw_docs where regexp_matches(u, '^https?://') and u not in (select u from crawled_docs where status = 200 and u is not null)"
 SQL["crawl_schedule"] = f"with x as (select distinct u from raw_docs), y as (select {host_port('u')} as host, (row_number() over (partition by {host_port('u')} order by u) - 1) * 800 as s from x) select host, count(*) as fetches, max(s)::bigint as last_start_ms, sum(s)::bigint as sum_start_ms from y group by host"
@@ -278,3 +278,6 @@ SQL["robots_rules"] = f"""with k as (select host, {_BUCKET.format("host")} % 8 a
  select body, allow, delay_ms::bigint as delay_ms, count(*) as hosts from k join v using (k) group by all"""
 SQL["stream_ttl_dedup"], SQL["stream_once"] = SQL["host_ttl_dedup"], SQL["good_hosts"]
 SQL["mention_windows"] = "select time_bucket(interval 6 hours, batch_ts, timestamp '2000-01-01') as from_ts, src, count(*) as n from gdelt_mentions group by 1, 2"
+
+
+from . import io_oracles  # noqa: E402, F401  (adds the SQL of sources and sinks)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.functions import hashing, text, urls
 from tidewrack.operators import bloom, dedup, delta, extract, feeds, frontier, graph, index, metrics, quality, runs, search, shards, signals, tiers
-from tidewrack.session import ensure_checkpoint_dir, table
+from tidewrack.session import scratch, table
 from tidewrack.streaming import dedup as stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,15 +220,22 @@ def bucket_stats(s: SparkSession, d: str) -> DataFrame:
     return index.bucket_stats(_raw_postings(s, d))
 
 
+def _index(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A written index of all records."""
+    out = scratch(s, "index")
+    index.write_index(_raw_postings(s, d), out, 0)
+    return search.open_index(s, out)
+
+
 @query
 def search_and(s: SparkSession, d: str) -> DataFrame:
-    return search.match_all(_raw_postings(s, d), ["guide", "market"])
+    return search.match_all(_index(s, d)[0], ["guide", "market"])
 
 
 @query
 def search_ranked(s: SparkSession, d: str) -> DataFrame:
     """The top 15 is the feature."""
-    return search.ranked(_raw_postings(s, d), ["guide", "market"], table(s, d, "site_hosts"))
+    return search.ranked(*_index(s, d), ["guide", "market"], table(s, d, "site_hosts"))
 
 
 @query
@@ -371,8 +377,8 @@ def frontier_pending(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def segment_list(s: SparkSession, d: str) -> DataFrame:
-    lines = lambda k: raw(s, d).where(f"rec_id % 4 <= {k}").select(F.col("rec_id").alias("line_no"), F.concat(F.lit(" data/"), F.coalesce("warc", F.lit("none")), F.lit(".warc.gz ")).alias("path"))
-    return frontier.segments(lines(0), lines(2)).select("id", "path", "dump", "line_no")
+    lines = lambda src: raw(s, d).where(F.coalesce("src", F.lit("")) != src).select(F.col("rec_id").alias("line_no"), F.concat(F.lit(" data/"), F.coalesce("warc", F.lit("none")), F.lit(".warc.gz ")).alias("path"))
+    return frontier.segments(lines("rss"), lines("warc")).select("id", "path", "dump", "line_no")
 
 
 @query
@@ -528,7 +534,7 @@ def robots_rules(s: SparkSession, d: str) -> DataFrame:
 def _drained(s: SparkSession, make: Callable[[DataFrame], DataFrame], d: str, name: str, ts: str) -> DataFrame:
     """What a stream over a table's files gives when it has read all of them; kept in the shared checkpoint folder."""
     static = table(s, d, name)
-    out = f"{ensure_checkpoint_dir(s).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    out = scratch(s, "stream")
     # a pattern, as the path may be a file or a folder
     stream = s.readStream.schema(static.schema).parquet(f"{d}/{name}.parque[t]").withColumn(ts, F.col(ts).cast("timestamp"))
     stream_dedup.drain(make(stream), f"{out}/rows", f"{out}/offsets").awaitTermination()
@@ -552,3 +558,6 @@ def mention_windows(s: SparkSession, d: str) -> DataFrame:
     """Mentions per source and window of six hours."""
     static = table(s, d, "gdelt_mentions").withColumn("batch_ts", F.col("batch_ts").cast("timestamp"))
     return static.groupBy(F.window("batch_ts", "6 hours").alias("w"), "src").agg(F.count("*").alias("n")).select(F.col("w.start").alias("from_ts"), "src", "n")
+
+
+from . import io_queries  # noqa: E402, F401  (registers the queries of sources and sinks)

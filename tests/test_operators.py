@@ -50,6 +50,12 @@ def test_near_links_find_every_pair(spark):
     got = {(r.a, r.b, r.distance) for r in dedup.near_links(df).collect()}
     want = {(f"{a:016x}", f"{b:016x}", bin(a ^ b).count("1")) for a, b in combinations(codes, 2) if bin(a ^ b).count("1") <= 3}
     assert got == want
+    for hot in (0, 3, 10**6):  # with and without the finer keys
+        rows = [(r.a, r.b, r.distance) for r in dedup.near_links(df, hot=hot).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want  # each pair is made once
+    for choice in dedup.CHOICES:
+        rest = dedup._rest_masks(choice)
+        assert len(rest) == 4 and sum(rest) == (1 << 64) - 1 - sum(dedup._mask(*dedup.BLOCKS[k]) for k in choice)
 
 
 def test_near_classes_weigh_copies(spark):
@@ -146,6 +152,63 @@ def test_next_fit_over_partitions(spark):
             assert (f"k{k:03}" in got) == (total <= 4 * target)
 
 
+def test_steps_compose():
+    import random
+
+    import numpy as np
+
+    from tidewrack.operators.rank import Steps
+
+    def scan(sizes, target, used):
+        begun = 0
+        for s in sizes:
+            if used and used + s > target:
+                begun, used = begun + 1, 0
+            used += s
+        return begun, used
+
+    rng = random.Random(4)
+    for _ in range(400):
+        target = rng.randint(1, 30)
+        parts = [[rng.choice([0, 0, 1, 2, 5, 9, 40]) if rng.random() < 0.7 else rng.randint(0, target) for _ in range(rng.randint(1, 12))] for _ in range(rng.randint(1, 5))]
+        steps = [tiers._steps(np.array(p, dtype=np.int64), target) for p in parts]
+        whole = steps[0]
+        for x in steps[1:]:
+            whole = whole.then(Steps.of(x.rows()))
+        for used in range(0, target + 45):
+            for p, x in zip(parts, steps):
+                assert x.at(used) == scan(p, target, used), (p, target, used)
+            assert whole.at(used) == scan([s for p in parts for s in p], target, used), (parts, target, used)
+
+
+def test_next_fit_tells_the_driver_little():
+    """Bins begun at different places meet: the steps of stretches put together are few, though a thousand places can begin a bin."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(6)
+    parts = [np.array([rng.choice([0, 1, 2, 3]) for _ in range(20_000)], dtype=np.int64) for _ in range(16)]
+    steps = [tiers._steps(x, 2_000) for x in parts]
+    whole = steps[0]
+    for x in steps[1:]:
+        whole = whole.then(x)
+    assert max(len(x.steps) for x in steps) < 700 and len(whole.steps) < 100 and len(tiers._steps(np.zeros(50_000, dtype=np.int64), 10).steps) <= 1
+
+
+def test_order_statistics(spark):
+    import random
+
+    from tidewrack.operators.rank import order_statistics
+
+    rng = random.Random(5)
+    v = [rng.choice([1, 2, 2, 3, rng.randint(0, 500)]) for _ in range(700)]
+    df = spark.createDataFrame([(x,) for x in v] + [(None,)], "v int").repartition(5)
+    assert order_statistics(df, "v", [0, 350, 699, 5000]) == {0: min(v), 350: sorted(v)[350], 699: max(v), 5000: max(v)}
+    assert order_statistics(df, "v", [3, 35], descending=True) == {k: sorted(v, reverse=True)[k] for k in (3, 35)}
+    assert order_statistics(df.where("false"), "v", [2]) == {2: None}
+
+
 def test_file_times(spark):
     names = spark.createDataFrame([("hot/rss-2024-03-01T10-20-30-000Z.ndjson.gz",), ("hot/ct-1709288430000.ndjson.gz",), ("x/202403011020.mentions",), ("x/none",)], "k string")
     got = [str(r.t) if r.t else None for r in names.select(tiers.file_time(F.col("k")).alias("t")).collect()]
@@ -226,6 +289,28 @@ def test_ttl_exact_boundary(spark):
     assert sorted(r.emitted_at for r in got.collect()) == [t[0], t[2], t[4]]
 
 
+def test_ttl_over_many_partitions_of_a_hot_key(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [("hot", rng.randrange(40 * 86_400)) for _ in range(3000)] + [(f"h{k % 7}", rng.randrange(40 * 86_400)) for k in range(200)]
+    want = set()
+    for k in {k for k, _ in rows}:
+        last = None
+        for v in sorted({v for n, v in rows if n == k}):
+            if last is None or v >= last + 86_400:
+                want.add((k, v))
+                last = v
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(k, start + dt.timedelta(seconds=v)) for k, v in rows] * 2, "host string, ts timestamp")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [(r.host, int((r.emitted_at - start).total_seconds())) for r in metrics.ttl_emissions(df, "host", "ts").collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "rec_id bigint, u string, t string, d string, c string, l string, s string")
     assert dedup.near_classes(docs, "rec_id").count() == 0

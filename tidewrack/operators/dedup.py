@@ -7,8 +7,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.functions import hashing
-
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column], last: bool = False) -> DataFrame:
     """The first (or last) row of each key in an order. Partial aggregation runs before the shuffle, so a key that holds
@@ -29,21 +27,53 @@ def prefix_gate(df: DataFrame, order: list[Column], digest: str = "s", digits: i
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))  # bits of a digest: start, length
 
 
-def near_links(digests: DataFrame, most: int = 3) -> DataFrame:
+CHOICES = tuple(combinations(range(len(BLOCKS)), 3))
+HOT = 256  # digests of one key from which its rest is keyed too
+
+
+def _long(bits: int) -> int:
+    """64 bits as a signed number."""
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def _mask(start: int, length: int) -> int:
+    return ((1 << length) - 1) << (64 - start - length)
+
+
+def _rest_masks(choice: tuple[int, ...]) -> list[int]:
+    """The bits outside a choice in four pieces: three differing bits leave one of them untouched."""
+    places = [BLOCKS[k][0] + i for k in range(len(BLOCKS)) if k not in choice for i in range(BLOCKS[k][1])]
+    size = -(-len(places) // 4)
+    return [sum(1 << (63 - p) for p in places[n : n + size]) for n in range(0, len(places), size)]
+
+
+def near_links(digests: DataFrame, most: int = 3, hot: int = HOT) -> DataFrame:
     """``(a, b, distance)`` of distinct digests (column ``s``) at most ``most`` (up to 3) bits apart, a < b.
 
     Of six blocks of bits, three differing bits leave three untouched: digests are joined on each of the 20 choices of
-    three blocks, keys of 31 to 33 bits. Every pair is found; it is kept only by the first choice that both agree on.
+    three blocks, keys of 31 to 33 bits. A pair is kept only by the first choice that both agree on, which their
+    differing bits tell, so that no pair is made twice and none is shuffled again. Keys of more than ``hot`` digests (a
+    family of templates) are joined on one of four pieces of the other bits besides, by the first that agrees.
     """
     if not 0 <= most <= 3:
         raise ValueError("at most 3 bits")
-    d = digests.select("s").where("s is not null").distinct().withColumn("bits", F.conv("s", 16, 2)).withColumn("bits", F.lpad("bits", 64, "0"))
-    parts = d.select("s", *[F.substring("bits", a + 1, n).alias(f"b{k}") for k, (a, n) in enumerate(BLOCKS)])
-    choices = list(combinations(range(len(BLOCKS)), 3))
-    keyed = parts.select("s", F.posexplode(F.array(*[F.concat(*[f"b{i}" for i in c]) for c in choices])).alias("choice", "key"))
-    a, b = keyed.select(F.col("s").alias("a"), "choice", "key"), keyed.select(F.col("s").alias("b"), "choice", "key")
-    pairs = a.join(b, ["choice", "key"]).where("a < b").withColumn("distance", hashing.hamming(F.col("a"), F.col("b"))).where(F.col("distance") <= most)
-    return pairs.groupBy("a", "b").agg(F.first("distance").alias("distance"))
+    d = digests.select("s").where("s is not null").distinct().withColumn("v", F.conv("s", 16, -10).cast("bigint"))
+    masks = [F.lit(_long(sum(_mask(*BLOCKS[k]) for k in c))) for c in CHOICES]
+    keyed = d.select("s", "v", F.posexplode(F.array(*[F.col("v").bitwiseAND(m) for m in masks])).alias("choice", "key"))
+    large = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("choice", "key", F.lit(True).alias("large"))
+    pieces = F.array(*[F.array(*[F.lit(_long(m)) for m in _rest_masks(c)]) for c in CHOICES])
+    mine = F.transform(F.get(pieces, F.col("choice")), lambda m: F.col("v").bitwiseAND(m))
+    fine = keyed.join(large, ["choice", "key"], "left").select("s", "v", "choice", "key", F.posexplode(F.when(F.col("large"), mine).otherwise(F.array(F.lit(0).cast("bigint")))).alias("piece", "rest"), F.coalesce("large", F.lit(False)).alias("large"))
+    on = ["choice", "key", "large", "piece", "rest"]
+    a, b = fine.withColumnsRenamed({"s": "a", "v": "va"}), fine.withColumnsRenamed({"s": "b", "v": "vb"})
+    x = F.col("va").bitwiseXOR(F.col("vb"))
+    pairs = a.join(b, on).where("a < b").withColumn("x", x).withColumn("distance", F.bit_count("x").cast("int")).where(F.col("distance") <= most)
+    same = [F.col("x").bitwiseAND(F.lit(_long(_mask(*block)))) == 0 for block in BLOCKS]
+    first = F.lit(None).cast("int")
+    for n, c in reversed(list(enumerate(CHOICES))):
+        first = F.when(same[c[0]] & same[c[1]] & same[c[2]], n).otherwise(first)
+    agreed = F.array_position(F.transform(F.get(pieces, F.col("choice")), lambda m: F.col("x").bitwiseAND(m)), F.lit(0).cast("bigint")) - 1
+    return pairs.where((F.col("choice") == first) & (~F.col("large") | (F.col("piece") == agreed))).select("a", "b", "distance")
 
 
 def near_classes(df: DataFrame, id_col: str, digest: str = "s", most: int = 3) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewrack.functions import urls
 from tidewrack.session import cut
 
+from .rank import order_statistics
+
 DAMPING = 0.85
 ITERATIONS = 20
 MAX_DST = 20
@@ -73,26 +75,9 @@ def pagerank(edges: DataFrame, iterations: int = ITERATIONS, damping: float = DA
         ranks = step.select("host", (F.lit(base) + F.lit(damping) * F.coalesce("m", F.lit(0.0))).alias("r"), "dangling")
         if k % cut_every == 0 or k == iterations:
             ranks = cut(ranks)
-    top = order_statistic(ranks, "r", int(n * 0.05))
-    return ranks.crossJoin(F.broadcast(top)).select("host", F.when(F.col("cut") > 0, F.least(F.lit(1.0), F.col("r") / F.col("cut"))).otherwise(0.0).alias("rank"))  # one row
-
-
-def order_statistic(df: DataFrame, col: str, k: int) -> DataFrame:
-    """One row ``cut``: the value at position ``k`` (from 0) of the descending order, by counts of equal values.
-
-    Values are range-partitioned and counted per partition; only the partition that holds the position is ranked.
-    """
-    counts = cut(df.groupBy(F.col(col).alias("v")).agg(F.count("*").alias("n")).repartitionByRange(F.desc("v")).withColumn("p", F.spark_partition_id()))
-    per = counts.groupBy("p").agg(F.sum("n").alias("n"), F.max("v").alias("hi")).orderBy(F.desc("hi")).collect()  # one row a partition
-    before = 0
-    for r in per:
-        if before + r.n > k:
-            break
-        before += r.n
-    else:
-        return counts.agg(F.min("v").alias("cut"))
-    w = Window.orderBy(F.desc("v"))  # within one partition of distinct values
-    return counts.where(F.col("p") == r.p).withColumn("upto", F.sum("n").over(w) + before).where(F.col("upto") > k).agg(F.max("v").alias("cut"))
+    k = int(n * 0.05)
+    top = F.lit(float(order_statistics(ranks, "r", [k], descending=True)[k]))
+    return ranks.select("host", F.when(top > 0, F.least(F.lit(1.0), F.col("r") / top)).otherwise(0.0).alias("rank"))
 
 
 def host_docs(df: DataFrame, u: str = "u") -> DataFrame:

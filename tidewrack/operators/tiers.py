@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewrack.session import cut
 
+from .rank import Steps
+
 GIB = 1 << 30
 
 
@@ -75,13 +78,33 @@ def _bin_starts(sizes: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray,
     return c, np.array(begun[:m], dtype=np.int64), np.array(last[:m], dtype=np.int64)
 
 
+GROUP = 64  # partitions whose steps are put together in one task
+
+
+def _steps(sizes: np.ndarray, target: int) -> Steps:
+    """What a stretch of sizes does to an open bin: bins begun in it, and the use of the last one at its end."""
+    c, begun, last = _bin_starts(sizes, target)
+    m = len(sizes)
+    # a bin of use u > 0 is left at the first place whose end passes the target: u > target - c[place + 1]
+    reach = min(m, int(np.searchsorted(c, target, side="right")))
+    steps = [(max(0, target - int(c[i + 1])), int(begun[i]) + 1, int(last[i])) for i in range(reach - 1, -1, -1)]
+    kept: dict[int, tuple[int, int, int]] = {}
+    for x in steps:  # of equal bounds the first place
+        kept[x[0]] = x
+    first = int(np.searchsorted(c, 0, side="right")) - 1  # an empty bin takes in the first size that is not zero
+    over = np.flatnonzero(c[first + 2 :] > target) if first < m else np.zeros(0, int)
+    zero = (int(begun[first + 1 + over[0]]) + 1, int(last[first + 1 + over[0]])) if len(over) else (0, int(c[m]))
+    return Steps(zero, int(c[m]), list(kept.values()))
+
+
 def next_fit(objects: DataFrame, target: int, size: str = "size", order: tuple[str, ...] = ("ts", "key")) -> DataFrame:
     """``(key, size, bin)``: objects in order go into the open bin; one that does not fit opens the next.
 
-    The scan is cut at range partitions. What a partition does depends on the open bin only up to the first bin begun in
-    it, which is one of the places that the first ``target`` bytes reach: for each of them it tells the bins begun and the
-    use of the last (one row a place, so at most the objects of one bin a partition come to the driver). These are chained
-    in order, and a second pass numbers the bins of all partitions at once. Null sizes count as zero.
+    The scan is cut at range partitions. What a partition does depends on the use of the open bin alone, and is a function
+    with few steps, as bins begun at different places soon meet: each task tells the steps, equal ones joined. ``GROUP``
+    partitions at a time are put together by tasks; the driver chains the groups, tasks then enter their partitions, and
+    a last pass numbers the bins of all partitions at once. The driver gets the steps of groups and one row a partition.
+    Null sizes count as zero.
     """
     kind = {f.name: f.dataType.simpleString() for f in objects.schema.fields}
     src = objects.select("key", F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)])
@@ -94,23 +117,42 @@ def next_fit(objects: DataFrame, target: int, size: str = "size", order: tuple[s
             if b.num_rows:
                 number = b.column(0)[0].as_py()
                 found.append(b.column(1).to_numpy())
-        if not found:
-            return
-        c, begun, last = _bin_starts(np.concatenate(found), target)
-        # one more, for an object larger than a bin that an empty bin takes in
-        reach = np.arange(min(len(begun), int(np.searchsorted(c, target, side="right")) + 1))
-        columns = [np.full(len(reach), number), reach, c[reach], c[reach + 1], begun[reach], last[reach], np.full(len(reach), c[-1])]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["p", "place", "before", "upto", "begun", "last", "total"])
-
-    told: dict[int, list] = {}
-    for r in parts.select("_p", "size").mapInArrow(tell, "p bigint, place bigint, before bigint, upto bigint, begun bigint, last bigint, total bigint").orderBy("p", "place").collect():
-        told.setdefault(r.p, []).append(r)
-    entry: dict[int, tuple[int, int]] = {}
+        if found:
+            rows = _steps(np.concatenate(found), target).rows()
+            columns = [[number] * len(rows), *zip(*rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in columns], names=["p", "lo", "begun", "last"])
+
+    kinds = "p bigint, lo bigint, begun bigint, last bigint"
+    told = cut(parts.select("_p", "size").mapInArrow(tell, kinds)).withColumn("g", (F.col("p") / GROUP).cast("int"))
+
+    def of(pdf: pd.DataFrame) -> list[tuple[int, Steps]]:
+        return [(int(p), Steps.of(zip(x["lo"].tolist(), x["begun"].tolist(), x["last"].tolist()))) for p, x in pdf.groupby("p", sort=True)]
+
+    def together(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = None
+        for _, x in of(pdf):
+            whole = x if whole is None else whole.then(x)
+        return pd.DataFrame([(key[0], *r) for r in whole.rows()], columns=["p", "lo", "begun", "last"])
+
+    groups: dict[int, list] = {}
+    for r in told.groupBy("g").applyInPandas(together, kinds).collect():
+        groups.setdefault(r.p, []).append((r.lo, r.begun, r.last))
+    begin: dict[int, tuple[int, int]] = {}
     number, used = 0, 0
-    for p in sorted(told):
-        entry[p] = (number, used)
-        first = next((r for r in told[p] if used + r.before > 0 and used + r.upto > target), None)
-        number, used = (number, used + told[p][0].total) if first is None else (number + 1 + first.begun, first.last)
+    for g in sorted(groups):
+        begin[g] = (number, used)
+        n, used = Steps.of(groups[g]).at(used)
+        number += n
+
+    def enter(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out, (at, full) = [], begin[key[0]]
+        for p, x in of(pdf):
+            out.append((p, at, full))
+            n, full = x.at(full)
+            at += n
+        return pd.DataFrame(out, columns=["p", "number", "used"])
+
+    entry = {r.p: (r.number, r.used) for r in told.groupBy("g").applyInPandas(enter, "p bigint, number bigint, used bigint").collect()}  # one row a partition
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None

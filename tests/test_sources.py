@@ -68,20 +68,35 @@ def test_log_stream_resumes_by_offset(spark, tmp_path):
     assert ctlog._Logs(str(logs)).parts({"one": 600}, {"one": 601})[0].first == 600  # older files are not opened
 
 
-def test_rolling_dedup_stream(spark, tmp_path):
-    src = tmp_path / "src"
-    src.mkdir()
+def rolled(spark, folder, batches, delay, end=None):
+    """Emissions of a stream over one file a micro-batch; ``end`` is the hour of the closing mark."""
+    import os
+
     start = dt.datetime(2024, 1, 1)
+    (folder / "src").mkdir(parents=True)
+    for k, b in enumerate([*batches, *([[(dedup.END, end)]] if end else [])]):
+        (folder / "src" / f"{k}.json").write_text("".join(json.dumps({"host": h, "ts": (start + dt.timedelta(hours=x)).isoformat()}) + "\n" for h, x in b))
+        os.utime(folder / "src" / f"{k}.json", (time.time() - 100 + k, time.time() - 100 + k))
+    stream = dedup.new_files(spark, str(folder / "src"), "host string, ts timestamp", per_batch=1)
+    dedup.drain(dedup.rolling(stream, delay), str(folder / "o"), str(folder / "c")).awaitTermination(240)
+    return sorted((r.host, int((r.ts - start).total_seconds() // 3600)) for r in spark.read.parquet(str(folder / "o")).collect())
+
+
+def test_rolling_dedup_stream(spark, tmp_path):
     batches = [[("h", 0), ("h", 1), ("g", 2)], [("h", 23), ("h", 24)], [("h", 47), ("h", 48), ("g", 60)]]
-    for k, b in enumerate(batches):
-        (src / f"{k}.json").write_text("".join(json.dumps({"host": h, "ts": (start + dt.timedelta(hours=x)).isoformat()}) + "\n" for h, x in b))
-        import os
-
-        os.utime(src / f"{k}.json", (time.time() - 100 + k, time.time() - 100 + k))
-    stream = dedup.new_files(spark, str(src), "host string, ts timestamp", per_batch=1)
-    dedup.drain(dedup.rolling(stream), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination(180)
-    got = sorted((r.host, int((r.ts - start).total_seconds() // 3600)) for r in spark.read.parquet(str(tmp_path / "o")).collect())
-    assert got == [("g", 2), ("g", 60), ("h", 0), ("h", 24), ("h", 48)]
+    want = [("g", 2), ("g", 60), ("h", 0), ("h", 24), ("h", 48)]
+    assert rolled(spark, tmp_path / "a", batches, "1 hour", 1000) == want
+    # late rows within the delay give the rows of the batch form, in whatever batches they come
+    late = [[("h", 47), ("h", 24), ("g", 60)], [("h", 1), ("g", 2)], [("h", 0), ("h", 48), ("h", 23)]]
+    assert rolled(spark, tmp_path / "b", late, "70 hours", 1000) == want
+    from tidewrack.operators import metrics
+
+    start = dt.datetime(2024, 1, 1)
+    flat = spark.createDataFrame([(h, start + dt.timedelta(hours=x)) for b in late for h, x in b], "host string, ts timestamp")
+    assert sorted((r.host, int((r.emitted_at - start).total_seconds() // 3600)) for r in metrics.ttl_emissions(flat, "host", "ts").collect()) == want
+    # without the end mark, what the watermark has not passed stays undecided; rows later than the delay are left out
+    assert rolled(spark, tmp_path / "c", batches, "30 hours") == [("g", 2), ("h", 0), ("h", 24)]
+    assert rolled(spark, tmp_path / "d", [[("h", 100)], [("h", 200)], [("h", 10)]], "1 hour", 1000) == [("h", 100), ("h", 200)]
 
 
 def test_once_stream(spark, tmp_path):

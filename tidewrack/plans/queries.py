@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -531,33 +532,56 @@ def robots_rules(s: SparkSession, d: str) -> DataFrame:
 # --- bounded streaming runs ---
 
 
-def _drained(s: SparkSession, make: Callable[[DataFrame], DataFrame], d: str, name: str, ts: str) -> DataFrame:
-    """What a stream over a table's files gives when it has read all of them; kept in the shared checkpoint folder."""
-    static = table(s, d, name)
+def _arriving(s: SparkSession, df: DataFrame, arrival: str, key: str, ts: str, files: int = 5) -> tuple[DataFrame, str]:
+    """A stream of a table's rows in files that came one after the other in order of arrival, one a micro-batch, closed by an
+    end mark; and how long rows come after their own time at most.
+    """
+    out = scratch(s, "arriving")
+    seconds = F.unix_timestamp(arrival).cast("double")
+    cuts = df.select(F.percentile_approx(seconds, [k / files for k in range(1, files)], 1000)).first()[0]
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = df.where((F.lit(True) if lo is None else seconds > lo) & (F.lit(True) if hi is None else seconds <= hi))
+        part.drop(arrival).coalesce(1).write.mode("append").parquet(out)
+    # a row is late by the latest time that came before it
+    first, last = df.agg(F.min(ts).cast("timestamp"), F.max(ts).cast("timestamp")).first()
+    days = (last - first).days + 1
+    schema = df.drop(arrival).schema
+    stream_dedup.closed(s, out, schema, key, ts, str(last + datetime.timedelta(days=2 * days + 400)))
+    return s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(out), f"{days} days"
+
+
+def _drained(s: SparkSession, stream: DataFrame) -> DataFrame:
+    """What a stream gives when it has read all of its files."""
     out = scratch(s, "stream")
-    # a pattern, as the path may be a file or a folder
-    stream = s.readStream.schema(static.schema).parquet(f"{d}/{name}.parque[t]").withColumn(ts, F.col(ts).cast("timestamp"))
-    stream_dedup.drain(make(stream), f"{out}/rows", f"{out}/offsets").awaitTermination()
+    stream_dedup.drain(stream, f"{out}/rows", f"{out}/offsets").awaitTermination()
     return s.read.parquet(f"{out}/rows")
 
 
+def _seeds(s: SparkSession, d: str) -> DataFrame:
+    c = table(s, d, "ct_seeds")
+    return c.select(F.col("t").alias("host"), F.col("ts").cast("timestamp").alias("ts"), F.col("received_at").cast("timestamp").alias("received_at")).where("ts is not null and received_at is not null")
+
+
 @query
 def stream_ttl_dedup(s: SparkSession, d: str) -> DataFrame:
-    """The streaming form of the rolling duplicates."""
-    return _drained(s, lambda x: stream_dedup.rolling(x.select(F.col("t").alias("host"), "ts")), d, "ct_seeds", "ts").select("host", F.col("ts").alias("emitted_at"))
+    """The streaming form of the rolling duplicates, over files in order of arrival with late rows among them."""
+    stream, delay = _arriving(s, _seeds(s, d), "received_at", "host", "ts")
+    return _drained(s, stream_dedup.rolling(stream, delay)).select("host", F.col("ts").alias("emitted_at"))
 
 
 @query
 def stream_once(s: SparkSession, d: str) -> DataFrame:
     """Each acceptable host once a run."""
-    return _drained(s, lambda x: stream_dedup.once(x.select(F.col("t").alias("host")).where(quality.good_host(F.col("host")))), d, "ct_seeds", "ts")
+    stream, _ = _arriving(s, _seeds(s, d), "received_at", "host", "ts")
+    return _drained(s, stream_dedup.once(stream.select("host").where(quality.good_host(F.col("host")))))
 
 
 @query
 def mention_windows(s: SparkSession, d: str) -> DataFrame:
-    """Mentions per source and window of six hours."""
-    static = table(s, d, "gdelt_mentions").withColumn("batch_ts", F.col("batch_ts").cast("timestamp"))
-    return static.groupBy(F.window("batch_ts", "6 hours").alias("w"), "src").agg(F.count("*").alias("n")).select(F.col("w.start").alias("from_ts"), "src", "n")
+    """Mentions per source and window of six hours, as a stream."""
+    m = table(s, d, "gdelt_mentions").select("src", F.col("batch_ts").cast("timestamp").alias("batch_ts"), F.col("batch_ts").cast("timestamp").alias("came")).where("batch_ts is not null")
+    stream, delay = _arriving(s, m, "came", "src", "batch_ts")
+    return _drained(s, stream_dedup.windows(stream, delay, "batch_ts", "src")).where(F.coalesce(F.col("src") != stream_dedup.END, F.lit(True)))
 
 
 from . import io_queries  # noqa: E402, F401  (registers the queries of sources and sinks)

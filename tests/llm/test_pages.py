@@ -295,3 +295,16 @@ def test_languages(spark, samples, common, chain):
     mixed = found.where("id = 3").first()
     assert [p.lang for p in mixed.passages] == ["en", "de"] and all(0 < p.confidence <= 1 for p in mixed.passages)
     assert langid.identify(df.where("false"), "rec_id", "c", None, "l", m, chain, common).count() == 0
+
+
+def test_models_are_fitted_once(spark):
+    from tidewrack.llm import models
+
+    times = []
+    fit = lambda: times.append(1) or {"a": np.arange(3), "b": np.array(["x", "y"])}
+    key = models.digest([("en", "text"), len(times), id(times)], quality)
+    first = models.fitted(spark, "test", key, fit)
+    models._KEPT.clear()  # as in a later run
+    again = models.fitted(spark, "test", key, fit)
+    assert times == [1] and again["a"].tolist() == [0, 1, 2] and again["b"].tolist() == first["b"].tolist()
+    assert models.digest([("en", "text")], quality) != models.digest([("en", "other")], quality) != models.digest([("en", "other")], langid)

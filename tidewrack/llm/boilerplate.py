@@ -16,6 +16,7 @@ furniture blocks are cut out; repeated rows are kept; extra columns are ignored;
 
 from __future__ import annotations
 
+import inspect
 import random
 from collections.abc import Iterator
 
@@ -430,10 +431,19 @@ def word_lists(common: DataFrame) -> CommonWords:
 
 
 def load(samples: DataFrame, common: DataFrame) -> tuple[Chain, CommonWords]:
-    """Model and word lists from ``lang_samples`` and ``common_words``, both tables that do not grow."""
+    """Model and word lists from ``lang_samples`` and ``common_words``, both tables that do not grow; fitted once and kept."""
+    from . import blocks, furniture, models
+
     cw = word_lists(common)
     rows = [(r.lang, r.text) for r in samples.select("lang", "text").orderBy("lang", "text").collect()]
-    return train(rows, cw), cw
+    key = models.digest([*rows, *cw.words.items()], inspect.getmodule(load), blocks, furniture)
+
+    def fresh() -> models.Arrays:
+        chain = train(rows, cw)
+        return {"unary": chain.unary, "pair": chain.pair}
+
+    got = models.fitted(samples.sparkSession, "page-tagger", key, fresh)
+    return Chain(got["unary"], got["pair"]), cw
 
 
 def furniture_lines(df: DataFrame, tbl: str, id_col: str, text_col: str, title_col: str | None, chain: Chain, common: CommonWords) -> DataFrame:

@@ -1,7 +1,7 @@
 """Problem 7: language of documents and passages by nearest centroid over normalised TF-IDF character n-grams.
 
 Each language has ``CENTROIDS`` spherical k-means centroids of its clean samples (``lang_samples``, a table that does not
-grow). A block's vector is its hashed character bi- and trigrams weighted by inverse document frequency; its score for a
+grow). A block's vector is its hashed character trigrams weighted by inverse document frequency; its score for a
 language is the largest cosine to the language's centroids. A block is rejected (language ``und``) if its distance to
 the nearest centroid is larger than samples of that language have, by ``SLACK``.
 
@@ -15,6 +15,7 @@ numbers. Defined results: null, empty and wordless texts have no passage; docume
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,19 +107,22 @@ def train(samples: list[tuple[str, str]], seed: int = 5) -> Centroids:
     languages = sorted(set(labels))
     arr = pa.array(texts, pa.string())
     grams, owner = gram_ids(arr)
-    x = np.zeros((len(texts), DIMS), dtype=np.float32)
-    np.add.at(x, (owner, grams), 1)
-    df = (x > 0).sum(axis=0)
+    cells, times = np.unique(owner * np.int64(DIMS) + grams, return_counts=True)  # sparse: sentence, gram and its number
+    at, gram = cells // DIMS, cells % DIMS
+    df = np.bincount(gram, minlength=DIMS)
     # grams that several languages share weigh less: the document frequency counts languages evenly
     idf = np.log((1 + len(texts)) / (1 + df)).astype(np.float32)
     idf[df == 0] = np.log(1.0 + len(texts))
-    x *= idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    value = (times * idf[gram]).astype(np.float32)
+    value /= np.maximum(np.sqrt(np.bincount(at, value**2, len(texts))), 1e-9)[at]
     rng = np.random.default_rng(seed)
     centers = np.zeros((len(languages) * CENTROIDS, DIMS), dtype=np.float32)
     y = np.array(labels)
     for k, lang in enumerate(languages):
-        own = x[y == lang]
+        rows = np.flatnonzero(y == lang)
+        mine = np.isin(at, rows)
+        own = np.zeros((len(rows), DIMS), dtype=np.float32)  # the sentences of one language at a time
+        own[np.searchsorted(rows, at[mine]), gram[mine]] = value[mine]
         c = own[rng.choice(len(own), size=CENTROIDS, replace=len(own) < CENTROIDS)]
         for _ in range(12):
             nearest = (own @ c.T).argmax(axis=1)
@@ -211,5 +215,14 @@ def mislabelled(found: DataFrame) -> DataFrame:
 
 
 def load(samples: DataFrame) -> Centroids:
-    """The model of a table of clean samples (lang, text) of bounded size."""
-    return train([(r.lang, r.text) for r in samples.select("lang", "text").collect()])
+    """The model of a table of clean samples (lang, text) of bounded size; fitted once and kept."""
+    from . import models
+
+    rows = [(r.lang, r.text) for r in samples.select("lang", "text").orderBy("lang", "text").collect()]
+
+    def fresh() -> models.Arrays:
+        m = train(rows)
+        return {"languages": np.array(m.languages), "weights": m.weights, "idf": m.idf, "least": m.least}
+
+    got = models.fitted(samples.sparkSession, "languages", models.digest(rows, inspect.getmodule(load)), fresh)
+    return Centroids(got["languages"].tolist(), got["weights"], got["idf"], got["least"])

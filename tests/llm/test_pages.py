@@ -308,3 +308,12 @@ def test_models_are_fitted_once(spark):
     again = models.fitted(spark, "test", key, fit)
     assert times == [1] and again["a"].tolist() == [0, 1, 2] and again["b"].tolist() == first["b"].tolist()
     assert models.digest([("en", "text")], quality) != models.digest([("en", "other")], quality) != models.digest([("en", "other")], langid)
+
+
+def test_languages_of_no_sample_are_rejected(samples, common, chain):
+    m = langid.train(samples)
+    foreign = ["Ez egy rövid mondat magyarul a hídról.", "Tämä on lyhyt lause suomeksi talosta.", "To jest krótkie zdanie po polsku o moście.", "Bu köprü hakkında kısa bir cümledir."]
+    got = langid.passages(pa.array(foreign), None, m, chain, common)
+    assert [g["lang"] for g in got] == ["und"] * 4 and not any(g["languages"] for g in got)
+    known = langid.passages(pa.array([t for _, t in samples]), None, m, chain, common)
+    assert all(g["lang"] != "und" for g in known)

@@ -29,7 +29,7 @@ from .boilerplate import Chain, tag
 
 DIMS = 1 << 15
 CENTROIDS = 3
-SLACK = 0.25  # of the least cosine seen in samples
+SLACK = 0.3  # of the least cosine seen in samples
 MARGIN = 0.04
 LEAST_LETTERS = 12
 _SLAB = 2000

@@ -18,7 +18,8 @@ def doc_terms(df: DataFrame, n_shards: int = 128, u: str = "u", most: int = MAX_
 
 def filters(terms: DataFrame, bits: int = hashing.BLOOM_BITS) -> DataFrame:
     """``(shard, word, bits)``: the non-zero 64-bit words of each shard's filter. At most bits/64 words a shard."""
-    pos = terms.select("shard", F.explode(hashing.bloom_positions(F.col("term"), bits)).alias("p"))
+    # a term of a shard is hashed once, whatever documents hold it
+    pos = terms.select("shard", "term").distinct().select("shard", F.explode(hashing.bloom_positions(F.col("term"), bits)).alias("p"))
     word = pos.select("shard", F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, p & 63)").alias("bit"))
     return word.groupBy("shard", "word").agg(F.bit_or("bit").alias("bits"))
 

@@ -76,7 +76,7 @@ def test_copies_do_not_make_garbling_common(spark):
     sound = [(f"{t} {i}",) for i in range(10) for t in dict.fromkeys(SOUND)]
     df = spark.createDataFrame(sound + [(garbled,)] * 55, "value string")
     pair = int(M._FOLD[ord("Ã")]) * M.SYMBOLS + int(M._FOLD[ord("¨")])
-    assert {r.pair: r.n for r in M.pair_counts(df).collect()}[pair] == 3  # a third of the rows; twice the mean copies, rounded up
+    assert {r.pair: r.n for r in M.pair_counts(df).collect()}[pair] == pytest.approx(3, abs=0.01)  # a third of the rows; twice the mean copies, rounded up
 
 
 def test_a_mapping_taken_once_is_tested_in_the_whole_field():

@@ -1,7 +1,7 @@
 """Problem 1: find and undo text that was decoded in a wrong character encoding.
 
-1. Counts of adjacent character pairs over all distinct field values of the corpus. A value counts by its copies up to
-   ``COPIES`` times the mean copies of a value, so that garbled text that recurs does not make its pairs common. Characters are folded to a fixed alphabet of
+1. Counts of adjacent character pairs over all field values of the corpus. The copies of a value count as ``COPIES`` times
+   the mean copies of a value at most, so that garbled text that recurs does not make its pairs common. Characters are folded to a fixed alphabet of
    ``SYMBOLS`` symbols (Latin, Greek, Cyrillic, punctuation and box drawing one by one, all others by page of 256 code
    points), so the table has at most ``SYMBOLS**2`` cells whatever the corpus. Tasks add up dense counts and emit
    non-zero cells once; only those are shuffled.
@@ -42,6 +42,7 @@ SWAPPED_LETTERS = 2  # a span of fewer letters beyond ASCII is a matter of chanc
 ROUNDS = 3
 MEMO = 300_000
 COPIES = 2  # times the mean copies of a value that a value can count
+CELLS = 1 << 20  # in which copies are counted by hash
 _CHUNK = 1_000_000  # characters scored at a time
 
 _SINGLE = 0x530  # Latin, Greek, Cyrillic and their marks
@@ -92,26 +93,35 @@ def _slabs(texts: list[str | None], size: int = _CHUNK) -> Iterator[list[tuple[i
 
 
 def pair_counts(fields: DataFrame) -> DataFrame:
-    """``(pair, n)`` over the distinct values of the column ``value``, which weigh by bounded copies; pair = first symbol * SYMBOLS + second."""
+    """``(pair, n)`` over the values of the column ``value``; pair = first symbol * SYMBOLS + second.
+
+    The copies of a value weigh together as much as ``COPIES`` times the mean copies of a value at most. Copies are counted
+    by hash in ``CELLS`` cells, which go to all tasks; texts are never shuffled. Values that share a cell weigh a little less.
+    """
+    hashed = fields.select("value", F.pmod(F.xxhash64("value"), F.lit(CELLS)).cast("int").alias("cell"))
+    size = fields.agg(F.count("value").alias("rows"), F.approx_count_distinct(F.xxhash64("value"), 0.02).alias("texts")).first()
+    most = -(-COPIES * size.rows // max(1, size.texts))
+    cells = hashed.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > most).toArrow()  # at most CELLS rows
+    shared = fields.sparkSession.sparkContext.broadcast((cells.column("cell").to_numpy(), cells.column("n").to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
+        share = np.ones(CELLS, dtype=np.float32)
+        at, held = shared.value
+        share[at] = most / held
+        total = np.zeros(SYMBOLS * SYMBOLS)
         for b in batches:
-            copies = b.column(1).to_numpy(zero_copy_only=False)
+            weight = share[b.column(1).to_numpy(zero_copy_only=False)].astype(np.float64)
             for slab in _slabs(b.column(0).to_pylist()):
                 _, s = fold("\x00".join(t for _, t in slab))
-                n = np.repeat(copies[[k for k, _ in slab]], [len(t) + 1 for _, t in slab])[: len(s) - 1]
-                codes, at = np.unique(s[:-1].astype(np.int64) * SYMBOLS + s[1:], return_inverse=True)
-                total[codes] += np.bincount(at, n, len(codes)).astype(np.int64)
+                n = np.repeat(weight[[k for k, _ in slab]], [len(t) + 1 for _, t in slab])[: len(s) - 1]
+                codes, where = np.unique(s[:-1].astype(np.int64) * SYMBOLS + s[1:], return_inverse=True)
+                total[codes] += np.bincount(where, n, len(codes))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.float64())], names=["pair", "n"])
 
-    hashed = fields.select("value", F.xxhash64("value").alias("hash"))
-    size = hashed.agg(F.count("value").alias("rows"), F.countDistinct("hash").alias("texts")).first()
-    most = -(-COPIES * size.rows // max(1, size.texts))
-    # tasks add up their own copies before the shuffle
-    texts = hashed.groupBy("hash").agg(F.first("value").alias("value"), F.least(F.count("*"), F.lit(most)).alias("copies"))
-    return texts.select("value", "copies").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    # in whole thousandths, so that the order of adding up does not tell
+    counts = hashed.mapInArrow(run, "pair bigint, n double").select("pair", F.round(F.col("n") * 1000).cast("bigint").alias("n"))
+    return counts.groupBy("pair").agg((F.sum("n") / 1000.0).alias("n"))
 
 
 class PairModel:

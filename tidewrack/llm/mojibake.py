@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 SMOOTH = 0.5
 #: Share of corpus mutual information, in nats per pair, under which a pair is improbable.
-IMPROBABLE = 3e-4
+IMPROBABLE = 1e-4
 #: Bound of log(p(ab) / (p(a) p(b))): that two characters are only ever seen together makes their pair no commoner.
 MOST_PMI = 2.0
 GAIN = 3.0  # nats over the whole run

@@ -100,3 +100,12 @@ def test_losses_count_inside_improbable_runs():
     assert M.restore("caf� and th�", m)[2] == 2 and M.restore("Où va la rivière ?", m)[2] == 0
     seen = "The cafÃ� costs"
     assert M.restore(seen, model())[1:] == (0, M.restore(seen, model())[2]) and M.restore(seen, model())[2] >= 1
+
+
+def test_a_swap_taken_once_is_tested_outside_of_runs():
+    text = "Я 1997 раз видел, что дорога в город очень узкая. Билет стоит 8 рублей."
+    seen = text.encode("cp1251").decode("latin-1")
+    m = model()
+    at = seen.index(" ", 10)
+    got, undone, _ = M.restore(seen, m, [(at, len(seen))])
+    assert got == text and undone == 2

@@ -10,8 +10,8 @@
 3. Inverse mappings are tested only inside those runs: byte sequences that are valid UTF-8 under a wrong one-byte
    decoding (also with HTML entities, also twice over), and whole runs of one one-byte encoding read as another. The
    candidate with the highest log probability of its pairs is taken if it beats the run by ``GAIN`` as a whole and, in
-   changes that keep the length, by ``GAIN_PAIR`` per pair. An inverse mapping of UTF-8 that was taken once in a field is then
-   tested at all valid sequences of the field, whether their pairs are improbable or not.
+   changes that keep the length, by ``GAIN_PAIR`` per pair. An inverse mapping that was taken once in a field is then
+   tested in the rest of the field, whether its pairs are improbable or not.
 4. U+FFFD, whose pairs are always improbable, and sequences cut off by lost bytes inside runs are reported, but cannot be
    restored; what else can be, is.
 
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 SMOOTH = 0.5
 #: Share of corpus mutual information, in nats per pair, under which a pair is improbable.
 IMPROBABLE = 1e-4
+FEW = 4  # times that a pair of any information must be seen to be probable, however small the corpus
 #: Bound of log(p(ab) / (p(a) p(b))): that two characters are only ever seen together makes their pair no commoner.
 MOST_PMI = 2.0
 GAIN = 3.0  # nats over the whole run
@@ -142,7 +143,8 @@ class PairModel:
             pb_ = np.bincount(b, self.counts, SYMBOLS) / self.total
             share = p * np.clip(np.log(p / np.maximum(pa_[a] * pb_[b], 1e-300)), 1e-9, MOST_PMI)
             score = np.full(SYMBOLS * SYMBOLS, 6.0, dtype=np.float16)
-            score[self.pairs] = np.clip(np.log(IMPROBABLE / np.maximum(share, 1e-12)), -3.0, 6.0)
+            bar = max(IMPROBABLE, (FEW + SMOOTH) / self.total * MOST_PMI)
+            score[self.pairs] = np.clip(np.log(bar / np.maximum(share, 1e-12)), -3.0, 6.0)
             lost = int(_FOLD[0xFFFD])  # a replacement character is never probable, however many there are
             score.reshape(SYMBOLS, SYMBOLS)[lost, :] = score.reshape(SYMBOLS, SYMBOLS)[:, lost] = 6.0
             logp = np.full(SYMBOLS * SYMBOLS, np.log(SMOOTH / self.total), dtype=np.float32)
@@ -307,20 +309,25 @@ def _decodings(run: str, model: PairModel) -> Iterator[str]:
             yield t
 
 
-def _swaps(run: str) -> Iterator[str]:
-    """A run with its spans of one one-byte encoding read in another."""
-    for seen, meant in SWAPS:
-        m = _BYTES[seen]
+def _swap(run: str, seen: str, meant: str, least: int = SWAPPED_LETTERS) -> str:
+    """A run with its spans of one one-byte encoding read in another, where they have ``least`` letters beyond ASCII."""
+    m = _BYTES[seen]
+
+    def back(x: re.Match) -> str:
+        if sum(c > "\x7f" and c.isalpha() for c in x.group()) < least:
+            return x.group()
+        try:
+            return bytes(m.get(c, ord(c) & 127) for c in x.group()).decode(meant)
+        except UnicodeDecodeError:
+            return x.group()
+
+    return _SPANS[seen].sub(back, run)
 
-        def back(x: re.Match, m: dict = m, meant: str = meant) -> str:
-            if sum(c > "\x7f" and c.isalpha() for c in x.group()) < SWAPPED_LETTERS:
-                return x.group()
-            try:
-                return bytes(m.get(c, ord(c) & 127) for c in x.group()).decode(meant)
-            except UnicodeDecodeError:
-                return x.group()
 
-        if (t := _SPANS[seen].sub(back, run)) != run:
+def _swaps(run: str) -> Iterator[str]:
+    """What each swap of one-byte encodings makes of a run."""
+    for seen, meant in SWAPS:
+        if (t := _swap(run, seen, meant)) != run:
             yield t
 
 
@@ -372,6 +379,8 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
     out: list[str] = []
     at = undone = lost = 0
     taken: set[str] = set()
+    swapped: set[tuple[str, str]] = set()
+    between: list[int] = []  # places in ``out`` of text that no run changed
     for a, b in runs:
         while a > at and text[a - 1] > "\x7f":
             a -= 1
@@ -392,13 +401,25 @@ def restore(text: str, model: PairModel, runs: list[tuple[int, int]] | None = No
                 model.known[key] = best
         if best != run:
             undone += 1
-            taken |= _codecs(run, best, model)
+            codecs = _codecs(run, best, model)
+            taken |= codecs
+            swapped |= {p for p in SWAPS if not codecs and _swap(run, *p) == best}
         # what stays of a run may be the rest of a sequence whose other bytes were lost; the characters around tell its end
         left, right = text[max(0, a - 1) : a], text[b : b + 1]
         lost += best.count("\ufffd") + sum(1 for m in _CUT_OFF.finditer(left + best + right) if m.end() > len(left) and m.start() < len(left) + len(best))
+        between += [len(out), len(out) + 1] if best == run else [len(out)]
         out += [text[at:a], best]
         at = b
+    between.append(len(out))
     out.append(text[at:])
+    for k in between if swapped else ():
+        # a swap that was taken once is tested outside of runs too, at single letters as well
+        for pair in swapped:
+            left, right = out[k - 1][-1:] if k else "", out[k + 1][:1] if k + 1 < len(out) else ""
+            t = _swap(out[k], *pair, least=1)
+            if t != out[k] and model.logp(left + t + right) >= model.logp(left + out[k] + right):
+                out[k] = t
+                undone += 1
     whole = "".join(out)
     for codec in WRONG:
         if codec in taken:
